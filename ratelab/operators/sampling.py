@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ratelab.shared import cut_lineage
 from ratelab.sources.tables import TEST, TRAIN
 
 
@@ -20,9 +21,30 @@ def hash_split(df: DataFrame, key_cols: Sequence[str], pct: int = 90) -> DataFra
     return df.withColumn("split", F.when(hash_bucket(key_cols) < pct, TRAIN).otherwise(TEST))
 
 
+def draw_split(df: DataFrame, pct: float = 90.0, seed: int = 1) -> DataFrame:
+    """Adds ``split`` by an independent draw per row.
+
+    Write the result once and read it back (``write_split``, ``read_split``):
+    the draw follows row order, so two evaluations may differ.
+    """
+    return df.withColumn("split", F.when(F.rand(seed) < pct / 100.0, TRAIN).otherwise(TEST))
+
+
 def random_split(df: DataFrame, weights: Sequence[float] = (0.9, 0.1), seed: int = 1) -> list[DataFrame]:
-    """Independent draw per row."""
-    return df.randomSplit(list(weights), seed)
+    """Parts of a random split, one draw per row. Runs a job.
+
+    The draws are checkpointed before they are cut into parts: evaluated anew
+    for each part, a plan with shuffles could give a row to two parts or none.
+    """
+    drawn = cut_lineage(df.withColumn("draw", F.rand(seed) * F.lit(float(sum(weights)))))
+    parts, low = [], 0.0
+    for i, weight in enumerate(weights):
+        inside = F.col("draw") >= low
+        if i < len(weights) - 1:
+            inside = inside & (F.col("draw") < low + weight)
+        parts.append(drawn.filter(inside).drop("draw"))
+        low += weight
+    return parts
 
 
 def bootstrap(df: DataFrame, fraction: float, seed: int = 1) -> DataFrame:
