@@ -21,13 +21,13 @@ and total work is bounded by edges ** 1.5.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratelab.operators.joins import MAX_HOT_KEYS, skew_join
+from ratelab.operators.joins import MAX_HOT_KEYS, HotKeys, hot_keys, skew_join
 
 LOOP_MODES = ("endpoint", "keep", "drop")
 STRATEGIES = ("auto", "shuffle", "broadcast")
 
-# Rows of a folded edge table that may be broadcast: three bigints each, so
-# some 100 MB once hashed.
+# Rows of an edge table that may be broadcast: three bigints each, so some
+# 100 MB once hashed.
 BROADCAST_EDGE_ROWS = 1_000_000
 
 ADJACENCY_BLOCK = 1_000_000
@@ -160,9 +160,11 @@ def triangles(
     _check(loops, strategy)
     if not rotations and loops != "drop":
         raise ValueError("rotations=False lists loop-free cycles; use loops='drop'")
-    folded, strategy = _folded(edges, dedup, strategy)
+    hot = hot_keys(edges, ["src"], ["dst"])
+    strategy = _checked(strategy, hot)
+    folded = fold_parallel(edges, dedup)
     pairs = folded.filter(F.col("src") != F.col("dst"))
-    ranked = _with_degrees(pairs, strategy)
+    ranked = _with_degrees(pairs, strategy, hot)
     # The paths that one closing edge b->a can meet are at most the smaller
     # degree of its ends, which both sides know: slice by it.
     slices = F.ceil(F.least("a_degree", "b_degree") / F.lit(paths_per_slice))
@@ -195,7 +197,8 @@ def triangles(
         return matches
 
     loop_rows = _loops(folded)
-    there_and_back = skew_join(_mutual(pairs), loop_rows, ["node"]).withColumn(
+    by_node = HotKeys(("node",), hot[0].slices, hot[0].rows)
+    there_and_back = skew_join(_mutual(pairs), loop_rows, ["node"], hot=by_node).withColumn(
         "copies", F.col("mutual") * F.col("loop_copies")
     )
     # With the loop on n and the other node o: n,n,o and o,n,n pass the
@@ -226,16 +229,18 @@ def triangle_count(
 
     ``loops``: "endpoint" keeps paths whose two ends differ, "keep" keeps every
     path, "drop" ignores self-loops. The third is an integer division, or a
-    double with ``fractional``. ``strategy="broadcast"`` counts the folded edges
-    first and falls back to shuffle joins above ``BROADCAST_EDGE_ROWS``.
+    double with ``fractional``. Runs one job that counts the edges and looks for
+    hubs; ``strategy="broadcast"`` becomes "shuffle" above ``BROADCAST_EDGE_ROWS``.
     """
     _check(loops, strategy)
-    folded, strategy = _folded(edges, dedup, strategy)
+    hot = hot_keys(edges, ["src"], ["dst"])
+    strategy = _checked(strategy, hot)
+    folded = fold_parallel(edges, dedup)
     pairs = folded.filter(F.col("src") != F.col("dst"))
     # Paths between the same two ends are summed before they are shuffled to
     # the closing edge: two hubs may share any number of middle nodes.
     legs = (
-        _low_paths(_with_degrees(pairs, strategy), strategy)
+        _low_paths(_with_degrees(pairs, strategy, hot), strategy)
         .groupBy("a", "b")
         .agg(F.sum("path_copies").alias("path_copies"))
     )
@@ -267,11 +272,11 @@ def _check(loops: str, strategy: str) -> None:
         raise ValueError(f"strategy must be one of {STRATEGIES}: {strategy}")
 
 
-def _folded(edges: DataFrame, dedup: bool, strategy: str) -> tuple[DataFrame, str]:
-    folded = fold_parallel(edges, dedup)
-    if strategy == "broadcast" and folded.count() > BROADCAST_EDGE_ROWS:
-        strategy = "shuffle"
-    return folded, strategy
+def _checked(strategy: str, hot: list[HotKeys]) -> str:
+    """Folding parallel edges only shrinks the table that was counted."""
+    if strategy == "broadcast" and hot[0].rows > BROADCAST_EDGE_ROWS:
+        return "shuffle"
+    return strategy
 
 
 def _join_hint(df: DataFrame, strategy: str) -> DataFrame:
@@ -280,22 +285,17 @@ def _join_hint(df: DataFrame, strategy: str) -> DataFrame:
     return df.hint("merge") if strategy == "shuffle" else df
 
 
-def _with_degrees(pairs: DataFrame, strategy: str) -> DataFrame:
+def _with_degrees(pairs: DataFrame, strategy: str, hot: list[HotKeys]) -> DataFrame:
     degrees = (
         pairs.select(F.explode(F.array("src", "dst")).alias("node"))
         .groupBy("node")
-        .agg(F.count(F.lit(1)).alias("key_rows"))
+        .agg(F.count(F.lit(1)).alias("degree"))
     )
     hint = {"auto": None, "shuffle": "merge", "broadcast": "broadcast"}[strategy]
     out = pairs
-    for end in ("src", "dst"):
-        out = skew_join(
-            out,
-            degrees.select(F.col("node").alias(end), F.col("key_rows").alias(f"{end}_degree")),
-            [end],
-            counts=degrees.select(F.col("node").alias(end), "key_rows"),
-            hint=hint,
-        )
+    for end, owners in zip(("src", "dst"), hot):
+        mine = degrees.select(F.col("node").alias(end), F.col("degree").alias(f"{end}_degree"))
+        out = skew_join(out, mine, [end], hot=owners, hint=hint)
     return out
 
 

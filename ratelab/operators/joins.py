@@ -1,12 +1,14 @@
-"""Equi-join of a fact table with a table that has one row per key.
+"""Equi-join of a fact table with a table that has few rows per key.
 
-One key may own a large share of the fact rows. Such keys are found by an exact
-count, their fact rows are spread over slices, and the single matching row on
-the other side is copied once per slice. Nothing is dropped or sampled, and the
-number of extra copies is bounded by ``2 * MAX_HOT_KEYS`` whatever the data.
+One key may own a large share of the fact rows. Such keys are found first, by
+heavy-hitter sketches in one pass over the key columns: no shuffle of rows, only
+of one small sketch per task. The fact rows of a hot key are spread over slices
+and its rows on the other side are copied once per slice. Which keys count as
+hot only decides how rows travel, never what the join returns.
 """
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,28 +17,64 @@ from pyspark.sql import types as T
 ROWS_PER_SLICE = 2_000_000
 MAX_HOT_KEYS = 10_000
 
+# Entries a sketch tracks: any key with more than 3.5 / SKETCH_KEYS of all rows
+# is sure to be in it.
+SKETCH_KEYS = 16_384
+SKETCH_GROUPS = 64
+
 _UNHASHED = (T.MapType, T.UserDefinedType, T.VariantType)
 
 
-def key_counts(facts: DataFrame, on: Sequence[str]) -> DataFrame:
-    return facts.groupBy(*on).agg(F.count(F.lit(1)).alias("key_rows"))
+@dataclass(frozen=True)
+class HotKeys:
+    """Key hashes owning more rows than a slice should hold, with slice counts.
+
+    ``rows`` is the number of rows of the whole table. There are at most
+    ``MAX_HOT_KEYS`` entries.
+    """
+
+    on: tuple[str, ...]
+    slices: dict[int, int]
+    rows: int
 
 
 def hot_keys(
-    counts: DataFrame,
-    on: Sequence[str],
+    facts: DataFrame,
+    *key_sets: Sequence[str],
     rows_per_slice: int = ROWS_PER_SLICE,
-    max_hot_keys: int = MAX_HOT_KEYS,
-) -> DataFrame:
-    """Keys owning more rows than a slice should hold, with their slice count.
+) -> list[HotKeys]:
+    """Hot keys of ``facts`` for each set of key columns. Runs one job.
 
-    The cut is never below total / max_hot_keys, so fewer than ``max_hot_keys``
-    keys can pass it: that is what makes the result safe to broadcast.
+    The result is fixed on the driver, so every later use of it agrees.
     """
-    total = counts.agg(F.coalesce(F.sum("key_rows"), F.lit(0)).alias("n")).scalar()
-    cut = F.greatest(F.lit(float(rows_per_slice)), total / F.lit(float(max_hot_keys)))
-    slices = F.ceil(F.col("key_rows") / cut).cast("int")
-    return counts.filter(F.col("key_rows") > cut).select(*on, slices.alias("slices"))
+    sketches = [
+        F.expr(f"approx_top_k_accumulate(key_{i}, {SKETCH_KEYS})").alias(f"sketch_{i}")
+        for i in range(len(key_sets))
+    ]
+    tops = [
+        F.expr(
+            f"approx_top_k_estimate(approx_top_k_combine(sketch_{i}, {SKETCH_KEYS}), {MAX_HOT_KEYS})"
+        ).alias(f"top_{i}")
+        for i in range(len(key_sets))
+    ]
+    hashes = [F.xxhash64(*on).alias(f"key_{i}") for i, on in enumerate(key_sets)]
+    merged = (
+        facts.select(*hashes, (F.spark_partition_id() % SKETCH_GROUPS).alias("sketch_group"))
+        .groupBy("sketch_group")
+        .agg(*sketches, F.count(F.lit(1)).alias("n"))
+        .agg(*tops, F.sum("n").alias("n"))
+    )
+    cut = F.greatest(F.lit(rows_per_slice), F.ceil(F.col("n") / MAX_HOT_KEYS))
+    over = [
+        F.filter(f"top_{i}", lambda t: t["count"] > F.col("cut")).alias(f"top_{i}")
+        for i in range(len(key_sets))
+    ]
+    row = merged.withColumn("cut", cut).select(*over, "n", "cut").first()
+    found = []
+    for i, on in enumerate(key_sets):
+        slices = {t["item"]: -(-t["count"] // row["cut"]) for t in row[f"top_{i}"] or ()}
+        found.append(HotKeys(tuple(on), slices, row["n"] or 0))
+    return found
 
 
 def spread(df: DataFrame, slices: Column) -> Column:
@@ -54,37 +92,38 @@ def skew_join(
     dim: DataFrame,
     on: Sequence[str],
     how: str = "inner",
-    counts: DataFrame | None = None,
+    hot: HotKeys | None = None,
     hint: str | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
-    max_hot_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
-    """``facts.join(dim, on, how)`` where ``dim`` is unique on ``on``.
+    """``facts.join(dim, on, how)`` where ``dim`` has few rows per key.
 
-    ``counts`` (``on`` columns plus ``key_rows``) saves the counting pass when
-    the caller already has an upper bound of the fact rows per key. ``how`` is
-    "inner" or "left".
+    ``hot`` are the hot keys of the facts when the caller has them (from a
+    narrower table, say); otherwise a job finds them. ``how`` is "inner" or
+    "left".
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
     on = list(on)
-    if counts is None:
-        counts = key_counts(facts, on)
-    hot = F.broadcast(hot_keys(counts, on, rows_per_slice, max_hot_keys))
-
-    fact_slices = F.coalesce("slices", F.lit(1))
-    if how == "left":
-        # Rows without a key match nothing; any slice will do.
-        no_key = F.greatest(*[F.col(c).isNull().cast("int") for c in on], F.lit(0)) == 1
-        fact_slices = F.when(no_key, F.lit(max_hot_keys)).otherwise(fact_slices)
-    left = facts.join(hot, on, "left")
-    left = left.withColumn("slice", spread(facts, fact_slices)).drop("slices")
-    right = dim.join(hot, on, "left").select(
-        *dim.columns,
-        F.explode(
-            F.sequence(F.lit(0).cast("bigint"), F.coalesce("slices", F.lit(1)).cast("bigint") - 1)
-        ).alias("slice"),
+    for c in on:
+        if facts.schema[c].dataType != dim.schema[c].dataType:
+            raise ValueError(f"join column {c} differs in type")
+    if hot is None:
+        (hot,) = hot_keys(facts, on, rows_per_slice=rows_per_slice)
+    right = dim.hint(hint) if hint else dim
+    if not hot.slices:
+        return facts.join(right, on, how)
+
+    table = F.broadcast(
+        facts.sparkSession.createDataFrame(
+            list(hot.slices.items()), "key_hash bigint, slices bigint"
+        )
     )
-    if hint:
-        right = right.hint(hint)
+    slices = F.coalesce("slices", F.lit(1).cast("bigint"))
+    left = facts.withColumn("key_hash", F.xxhash64(*on)).join(table, "key_hash", "left")
+    left = left.withColumn("slice", spread(facts, slices)).drop("slices", "key_hash")
+    right = dim.withColumn("key_hash", F.xxhash64(*on)).join(table, "key_hash", "left")
+    first = F.lit(0).cast("bigint")
+    right = right.select(*dim.columns, F.explode(F.sequence(first, slices - 1)).alias("slice"))
+    right = right.hint(hint) if hint else right
     return left.join(right, [*on, "slice"], how).drop("slice")

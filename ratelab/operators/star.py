@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from ratelab.functions.cleaning import last_per_key
-from ratelab.operators.joins import key_counts, skew_join
+from ratelab.operators.joins import HotKeys, hot_keys, skew_join
 
 
 def join_books(
@@ -13,6 +13,7 @@ def join_books(
     books: DataFrame,
     dedup: bool = True,
     book_order: Sequence[str] = (),
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Ratings with their book; ratings of unknown books are left out.
 
@@ -21,7 +22,8 @@ def join_books(
     """
     if dedup:
         books = last_per_key(books, ["isbn"], book_order)
-    return skew_join(ratings, books.drop(*book_order) if dedup else books, ["isbn"])
+        books = books.drop(*book_order)
+    return skew_join(ratings, books, ["isbn"], hot=hot)
 
 
 def star(
@@ -32,10 +34,12 @@ def star(
     book_order: Sequence[str] = (),
     user_order: Sequence[str] = (),
 ) -> DataFrame:
-    """Ratings with book and user columns; both joins are inner."""
-    rated = join_books(ratings, books, dedup, book_order)
+    """Ratings with book and user columns; both joins are inner.
+
+    One pass over the ratings looks for books and users with very many of them.
+    """
+    hot_books, hot_users = hot_keys(ratings, ["isbn"], ["user_id"])
+    rated = join_books(ratings, books, dedup, book_order, hot_books)
     if dedup:
         users = last_per_key(users, ["user_id"], user_order).drop(*user_order)
-    # Every rating reaches the second join at most once per book row, so the
-    # users' counts can be taken on the narrow table.
-    return skew_join(rated, users, ["user_id"], counts=key_counts(ratings, ["user_id"]))
+    return skew_join(rated, users, ["user_id"], hot=hot_users)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ratelab.functions.cleaning import clean_books, clean_users, drop_implicit
 from ratelab.operators.graph import filter_max_id
+from ratelab.operators.joins import skew_join
 from ratelab.operators.star import star
 
 # Unique at the larger scale factors.
@@ -61,19 +62,20 @@ def rating_value() -> Column:
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return (
-        table(spark, sf_dir, "lineitem")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(
-            F.col("o_custkey").alias("user_id"),
-            F.col("l_partkey").cast("string").alias("isbn"),
-            rating_value().alias("rating"),
-            row_key().alias("row_key"),
-        )
+    return _ordered_items(spark, sf_dir).select(
+        F.col("o_custkey").alias("user_id"),
+        F.col("l_partkey").cast("string").alias("isbn"),
+        rating_value().alias("rating"),
+        row_key().alias("row_key"),
     )
 
 
+def _ordered_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "lineitem").select(*ROW_KEY, "l_quantity")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    return skew_join(items, orders, ["l_orderkey"])
+
+
 def row_key() -> Column:
     return F.concat_ws("|", *ROW_KEY)
 
@@ -115,9 +117,7 @@ def rating_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('"'), user, F.lit('";"'), F.col("l_partkey").cast("string"),
         F.lit('";"'), value, F.lit('"'),
     )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    items = table(spark, sf_dir, "lineitem")
-    return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(line.alias("line"))
+    return _ordered_items(spark, sf_dir).select(line.alias("line"))
 
 
 def user_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ratelab.functions import cleaning
 from ratelab.operators import ensemble, evaluate
 from ratelab.operators.features import fit_index
-from ratelab.operators.joins import skew_join
+from ratelab.operators.joins import hot_keys, skew_join
 from ratelab.operators.sampling import bagged_sample, bootstrap, hash_split, random_split
 from ratelab.operators.star import join_books as rated_books
 from ratelab.plans import proxies
@@ -24,7 +24,7 @@ def parse_books(spark, sf_dir):
 
 
 def parse_ratings(spark, sf_dir):
-    return raw.parse_ratings(proxies.rating_lines(spark, sf_dir))[0]
+    return cleaning.drop_implicit(raw.parse_ratings(proxies.rating_lines(spark, sf_dir))[0])
 
 
 def parse_users(spark, sf_dir):
@@ -160,19 +160,15 @@ def feature_index(spark, sf_dir):
 
 def ensemble_scores(spark, sf_dir):
     """Three simple predictors learned on the train side score the test side."""
-    split = _split(spark, sf_dir)
-    train = split.filter(F.col("split") == TRAIN)
-    test = split.filter(F.col("split") == TEST).select("row_key", "isbn", "age", "rating")
-    by_isbn = train.groupBy("isbn").agg(
-        F.min("rating").alias("low"), F.max("rating").alias("high"), F.count(F.lit(1)).alias("key_rows")
-    )
-    by_age = train.groupBy("isbn", "age").agg(
-        F.round(F.avg("rating")).alias("mean"), F.count(F.lit(1)).alias("key_rows")
-    )
-    wide = skew_join(test, by_isbn.drop("key_rows"), ["isbn"], "left", by_isbn.select("isbn", "key_rows"))
-    wide = skew_join(
-        wide, by_age.drop("key_rows"), ["isbn", "age"], "left", by_age.select("isbn", "age", "key_rows")
-    )
+    path = scratch_table_path(spark, "split")
+    write_split(_split(spark, sf_dir), path)
+    train = read_split(spark, path, TRAIN).select("isbn", "age", "rating")
+    test = read_split(spark, path, TEST).select("row_key", "isbn", "age", "rating")
+    by_isbn = train.groupBy("isbn").agg(F.min("rating").alias("low"), F.max("rating").alias("high"))
+    by_age = train.groupBy("isbn", "age").agg(F.round(F.avg("rating")).alias("mean"))
+    hot_isbn, hot_age = hot_keys(test, ["isbn"], ["isbn", "age"])
+    wide = skew_join(test, by_isbn, ["isbn"], "left", hot_isbn)
+    wide = skew_join(wide, by_age, ["isbn", "age"], "left", hot_age)
     members = F.array(
         *[
             F.struct(F.lit(i).alias("model_id"), F.col(c).cast("double").alias("predicted"))
@@ -339,7 +335,7 @@ ORACLE = {
     "parse_books": f"""WITH {BOOK_LINES_SQL}
         SELECT isbn, title, author, year_raw, publisher FROM book_lines WHERE reason IS NULL""",
     "parse_ratings": f"""WITH {RATING_LINES_SQL}
-        SELECT user_id, isbn, rating FROM rating_lines WHERE reason IS NULL""",
+        SELECT user_id, isbn, rating FROM rating_lines WHERE reason IS NULL AND rating <> 0""",
     "parse_users": f"""WITH {USER_LINES_SQL}
         SELECT user_id, location, age_raw FROM user_lines WHERE reason IS NULL""",
     "rejects_count": f"""WITH {BOOK_LINES_SQL}, {RATING_LINES_SQL}, {USER_LINES_SQL}
