@@ -1,5 +1,6 @@
 """Registered parsing, cleaning, join, split and metric queries and their SQL."""
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from ratelab.functions import cleaning
@@ -148,7 +149,7 @@ def feature_index(spark, sf_dir):
     path = scratch_table_path(spark, "split")
     write_split(_split(spark, sf_dir), path)
     train = read_split(spark, path, TRAIN)
-    index = fit_index(train, columns)
+    index = PipelineModel(fit_index(train, columns))
     rows = spark.read.parquet(path).select("row_key", *columns)
     return index.transform(rows).select(
         "row_key", *[F.col(f"{c}_index").cast("bigint").alias(f"{c}_index") for c in columns]
