@@ -62,6 +62,9 @@ def hot_keys(
         facts.select(*hashes, (F.spark_partition_id() % SKETCH_GROUPS).alias("sketch_group"))
         .groupBy("sketch_group")
         .agg(*sketches, F.count(F.lit(1)).alias("n"))
+        # Grouped by a constant: an empty table gives no row rather than a
+        # sketch of nothing.
+        .groupBy(F.lit(0).alias("all"))
         .agg(*tops, F.sum("n").alias("n"))
     )
     cut = F.greatest(F.lit(rows_per_slice), F.ceil(F.col("n") / MAX_HOT_KEYS))
@@ -70,10 +73,12 @@ def hot_keys(
         for i in range(len(key_sets))
     ]
     row = merged.withColumn("cut", cut).select(*over, "n", "cut").first()
+    if row is None:
+        return [HotKeys(tuple(on), {}, 0) for on in key_sets]
     found = []
     for i, on in enumerate(key_sets):
-        slices = {t["item"]: -(-t["count"] // row["cut"]) for t in row[f"top_{i}"] or ()}
-        found.append(HotKeys(tuple(on), slices, row["n"] or 0))
+        slices = {t["item"]: -(-t["count"] // row["cut"]) for t in row[f"top_{i}"]}
+        found.append(HotKeys(tuple(on), slices, row["n"]))
     return found
 
 
