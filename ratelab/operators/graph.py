@@ -13,9 +13,9 @@ Counting splits the matches x->y, y->z, z->x by how many of the ends coincide:
 * all equal: three loops on one node, which the path-end test removes.
 
 Cycles of three different nodes are searched from their lowest-ranked node,
-ranking by (degree, id). A node has at most sqrt(2 * edges) neighbours of
-higher rank, so a hub that owns a third of all edges expands almost no paths
-and total work is bounded by edges ** 1.5.
+ranking by (degree, id), the degree counting parallel edges. A node has at most
+sqrt(2 * edges) neighbours of higher rank, so a hub that owns a third of all
+edges expands almost no paths and total work is bounded by edges ** 1.5.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -286,10 +286,12 @@ def _join_hint(df: DataFrame, strategy: str) -> DataFrame:
 
 
 def _with_degrees(pairs: DataFrame, strategy: str, hot: list[HotKeys]) -> DataFrame:
+    """Both ends' degrees, copies included: any upper bound of the neighbours
+    will do, and this one reads the folded table the other branches read."""
     degrees = (
-        pairs.select(F.explode(F.array("src", "dst")).alias("node"))
+        pairs.select(F.explode(F.array("src", "dst")).alias("node"), "copies")
         .groupBy("node")
-        .agg(F.count(F.lit(1)).alias("degree"))
+        .agg(F.sum("copies").alias("degree"))
     )
     hint = {"auto": None, "shuffle": "merge", "broadcast": "broadcast"}[strategy]
     out = pairs
