@@ -12,7 +12,7 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]")
         .appName("ratelab-tests")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
