@@ -359,7 +359,7 @@ def encode_documents(
             yield pa.RecordBatch.from_arrays(columns, names=[id_col, *carry, "ids"])
 
     named = docs.select(id_col, text_col, *carry)
-    schema = T.StructType([f for f in named.schema if f.name != text_col]).add("ids", "array<int>")
+    schema = T.StructType([f for f in named.schema if f.name != text_col]).add("ids", T.ArrayType(T.IntegerType()))
     return map_batches(named, run, schema)
 
 
