@@ -33,7 +33,7 @@ from ratelab.llm.tasks import map_batches
 MAGIC = b"TOKZ0001"
 #: Magic and the dictionary's SHA-256.
 HEAD_BYTES = len(MAGIC) + 32
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 1_000_000
 #: Longer texts go to the tokenizer in parts.
 PART_CHARS = 1 << 18
 #: How byte-level tokenizers of this kind cut text into words; a fixed value.
@@ -41,7 +41,6 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 #: Texts of other characters, or with white space other than single blanks and
 #: line feeds, are encoded whole: Unicode versions may differ about them.
 _PLAIN = re.compile("[\n !-~\xa1-\xac\xae-ɏ]*")
-_AFTER_SPACE = re.compile(r"\s")
 #: A place where words never meet across: a blank between two letters or digits.
 _CUT = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
 
@@ -69,7 +68,7 @@ class Encoder:
     """The tokenizers library over texts, with the ids of words remembered.
 
     The tokenizer's words depend on nothing around them, so plain texts are cut
-    at blanks and equal pieces are encoded once.
+    at blanks, and the pieces of a batch that aren't known yet are encoded together.
     """
 
     def __init__(self, path: str):
@@ -82,34 +81,60 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.added = [t["content"] for t in spec["added_tokens"]]
+        #: Ids of pieces after a blank, and of pieces that begin a text.
         self.known: dict[str, bytes] = {}
+        self.firsts: dict[str, bytes] = {}
+        self.line_feed = spec["model"]["vocab"]["Ċ"]
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit integers."""
-        cut = [self._chunks(text) for text in texts]
-        missing = set().union(*(c for c in cut if c is not None)).difference(self.known)
-        if len(self.known) + len(missing) > CACHE_CHUNKS:
-            self.known.clear()
-            missing = set().union(*(c for c in cut if c is not None))
-        missing = sorted(missing)
-        for lo in range(0, len(missing), 4096):
-            some = missing[lo : lo + 4096]
-            for chunk, e in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[chunk] = np.array(e.ids, dtype="<u4").tobytes()
-        get = self.known.__getitem__
-        return [
-            self._whole(text) if chunks is None else b"".join(map(get, chunks))
-            for text, chunks in zip(texts, cut)
-        ]
-
-    def _chunks(self, text: str) -> list[str] | None:
-        """Pieces of a text that are each a blank and what follows, or None if it isn't plain."""
-        if _PLAIN.fullmatch(text) is None or "  " in text or " \n" in text or "\n " in text:
-            return None
-        if text[-1:] == " " or any(mark in text for mark in self.added):
-            return None
-        first, *rest = text.split(" ")
-        return [*([first] if first else []), *map(" ".__add__, rest)]
+        get, found, gaps = self.known.get, [], []
+        for text in texts:
+            pieces = text.split(" ") if self._is_plain(text) else None
+            ids = None if pieces is None else list(map(get, pieces))
+            found.append(ids)
+            if pieces is not None:
+                ids[0] = self.firsts.get(pieces[0])
+                gaps.append((ids, pieces, [i for i, x in enumerate(ids) if x is None]))
+        new = {pieces[i] for _, pieces, at in gaps for i in at if i}
+        firsts = {pieces[0] for _, pieces, at in gaps if at[:1] == [0]}
+        learned, began = self._learn(new, firsts)
+        for ids, pieces, at in gaps:
+            for i in at:
+                ids[i] = learned[pieces[i]] if i else began[pieces[0]]
+        return [self._whole(text) if ids is None else b"".join(ids) for text, ids in zip(texts, found)]
+
+    def _is_plain(self, text: str) -> bool:
+        """Whether single blanks and line feeds are all the white space, and no blank touches another or an end."""
+        return (
+            _PLAIN.fullmatch(text) is not None
+            and not ("  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " ")
+            and not any(mark in text for mark in self.added)
+        )
+
+    def _learn(self, new: set[str], firsts: set[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
+        """Ids of pieces after a blank and of first pieces, which are remembered from now on."""
+        # Between line feeds every piece is cut into the same words as in its text.
+        plain, learned = [p for p in new if "\n" not in p], {}
+        if plain:
+            ids = self.library.encode_batch_fast([" " + "\n ".join(plain)], add_special_tokens=False)[0].ids
+            ids = np.array([*ids, self.line_feed], dtype="<u4")
+            data, start = ids.tobytes(), 0
+            for piece, end in zip(plain, (4 * np.flatnonzero(ids == self.line_feed)).tolist(), strict=True):
+                learned[piece] = data[start:end]
+                start = end + 4
+        learned |= self._each(" ", new.difference(plain))
+        began = self._each("", firsts)
+        for known, more, most in ((self.known, learned, CACHE_CHUNKS), (self.firsts, began, CACHE_CHUNKS // 10)):
+            if len(known) + len(more) > most:
+                known.clear()
+            known.update(more)
+        return learned, began
+
+    def _each(self, blank: str, pieces: set[str]) -> dict[str, bytes]:
+        some = sorted(pieces)
+        found = self.library.encode_batch_fast([blank + p for p in some], add_special_tokens=False)
+        return {p: np.array(e.ids, dtype="<u4").tobytes() for p, e in zip(some, found)}
 
     def _whole(self, text: str) -> bytes:
         """Directly, in parts where the text is long and has a place to cut it."""
@@ -188,7 +213,10 @@ def write_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = fs.FileSystem.from_uri(folder)
         part, file = TaskContext.get().partitionId(), f"{uuid.uuid4().hex}.tok"
-        packer = zstandard.ZstdCompressor(level=rule.level, dict_data=_dictionary(data))
+        shared = _dictionary(data)
+        if shared is not None:
+            shared.precompute_compress(level=rule.level)  # else every frame digests it anew
+        packer = zstandard.ZstdCompressor(level=rule.level, dict_data=shared)
         out, offset, before = None, HEAD_BYTES, 0
         for batch in batches:
             if out is None:
