@@ -2,7 +2,8 @@
 
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ratelab.shared import scratch_table_path
 
@@ -30,3 +31,16 @@ def byte_ranges(
         ):
             yield start, i
             start = i
+
+
+def spread_by_stretch(index: DataFrame, stretch: int) -> DataFrame:
+    """Index rows (``file, offset, length``) by file and stretch of a file, sorted, for readers.
+
+    Index rows are few bytes, what they name is many: the number of tasks goes
+    by the bytes to read, one stretch each, and above 2,000 tasks 1 GiB each.
+    Runs a job over the index.
+    """
+    whole = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, min(-(-whole // stretch), max(2_000, whole >> 30)))
+    spread = index.repartition(tasks, "file", F.floor(F.col("offset") / stretch))
+    return spread.sortWithinPartitions("file", "offset")

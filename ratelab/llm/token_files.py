@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from ratelab.llm.files import byte_ranges
+from ratelab.llm.files import byte_ranges, spread_by_stretch
 from ratelab.llm.tasks import map_batches
 
 MAGIC = b"TOKZ0001"
@@ -294,8 +294,7 @@ def read_tokens(index: DataFrame, folder: str, rule: TokenFileRule = TokenFileRu
                         )
                 at = end
 
-    stretch = F.floor(F.col("offset") / (4 * rule.range_bytes))
-    spread = index.repartition("file", stretch).sortWithinPartitions("file", "offset")
+    spread = spread_by_stretch(index, 4 * rule.range_bytes)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in index.schema)
     return map_batches(spread, run, f"{fields}, ids binary")
 

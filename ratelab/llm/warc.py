@@ -20,7 +20,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratelab.llm.files import byte_ranges
+from ratelab.llm.files import byte_ranges, spread_by_stretch
 from ratelab.llm.skew import join_unique
 from ratelab.llm.tasks import map_batches
 
@@ -207,9 +207,8 @@ def read_warc(index: DataFrame, folder: str, rule: WarcRule = WarcRule()) -> Dat
                         )
                 at = end
 
-    stretch = F.floor(F.col("offset") / (4 * rule.range_bytes))
-    spread = index.select("file", "offset", "length").repartition("file", stretch)
-    return map_batches(spread.sortWithinPartitions("file", "offset"), run, schema)
+    spread = spread_by_stretch(index.select("file", "offset", "length"), 4 * rule.range_bytes)
+    return map_batches(spread, run, schema)
 
 
 def _read_row(packed: bytes):
