@@ -1,13 +1,27 @@
-"""Train/test splits and samples with replacement."""
+"""Train/test splits and samples with replacement, drawn from hashes of row keys.
 
+A draw depends on a row's key and the seed only: equal in any order, in any
+number of partitions and in any engine with md5; nothing is sorted or
+checkpointed. Without key columns a row's key is its content and, among equal
+rows, its number; that takes a shuffle, so name key columns where there are any.
+"""
+
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from ratelab.shared import cut_lineage
 from ratelab.sources.tables import TEST, TRAIN
 
+# A draw uses so many hexadecimal digits of an md5 sum: 52 bits.
+DIGITS = 13
+
+_NO_KEY = (T.MapType, T.UserDefinedType, T.VariantType)
+_KEY, _COPY = "_row_key", "_copy"
+
 
 def hash_bucket(key_cols: Sequence[str], buckets: int = 100) -> Column:
     """Bucket of a row key, the same in any engine with md5."""
@@ -21,40 +35,86 @@ def hash_split(df: DataFrame, key_cols: Sequence[str], pct: int = 90) -> DataFra
     return df.withColumn("split", F.when(hash_bucket(key_cols) < pct, TRAIN).otherwise(TEST))
 
 
-def draw_split(df: DataFrame, pct: float = 90.0, seed: int = 1) -> DataFrame:
-    """Adds ``split`` by an independent draw per row.
+def uniform_draw(key: Column, seed: int) -> Column:
+    """A number in [0, 1) from a row key and a seed."""
+    head = F.substring(F.md5(F.concat_ws("|", key, F.lit(str(seed)))), 1, DIGITS)
+    return F.conv(head, 16, 10).cast("double") / float(16**DIGITS)
 
-    Write the result once and read it back (``write_split``, ``read_split``):
-    the draw follows row order, so two evaluations may differ.
-    """
-    return df.withColumn("split", F.when(F.rand(seed) < pct / 100.0, TRAIN).otherwise(TEST))
 
+def poisson_steps(mean: float) -> list[float]:
+    """Cumulative probabilities: a draw u makes as many copies as there are steps at or below u."""
+    if mean > 500:
+        raise ValueError("a mean of more than 500 copies per row")
+    steps, total, term, k = [], 0.0, math.exp(-mean), 0
+    while k < mean or term > 1e-17:
+        total += term
+        steps.append(total)
+        k += 1
+        term *= mean / k
+    return steps
 
-def random_split(df: DataFrame, weights: Sequence[float] = (0.9, 0.1), seed: int = 1) -> list[DataFrame]:
-    """Parts of a random split, one draw per row. Runs a job.
 
-    The draws are checkpointed before they are cut into parts: evaluated anew
-    for each part, a plan with shuffles could give a row to two parts or none.
-    """
-    drawn = cut_lineage(df.withColumn("draw", F.rand(seed) * F.lit(float(sum(weights)))))
-    parts, low = [], 0.0
+def _keyed(df: DataFrame, key_cols: Sequence[str] | None) -> DataFrame:
+    if key_cols is not None:
+        return df.withColumn(_KEY, F.concat_ws("|", *key_cols))
+    plain = [f.name for f in df.schema if not isinstance(f.dataType, _NO_KEY)]
+    content = F.to_json(F.struct(*plain), {"ignoreNullFields": "false"})
+    nth = F.row_number().over(Window.partitionBy("_content").orderBy(F.lit(1)))
+    numbered = df.withColumn("_content", content).withColumn("_nth", nth)
+    return numbered.withColumn(_KEY, F.concat_ws("|", "_content", "_nth")).drop("_content", "_nth")
+
+
+def with_row_id(df: DataFrame, name: str) -> DataFrame:
+    """Adds an id that a row has in every run: a hash of its content, and its number among equal rows."""
+    return _keyed(df, None).withColumn(name, F.md5(_KEY)).drop(_KEY)
+
+
+def draw_split(
+    df: DataFrame, pct: float = 90.0, seed: int = 1, key_cols: Sequence[str] | None = None
+) -> DataFrame:
+    """Adds ``split`` by an independent draw per row key."""
+    drawn = uniform_draw(F.col(_KEY), seed)
+    return (
+        _keyed(df, key_cols)
+        .withColumn("split", F.when(drawn < pct / 100.0, TRAIN).otherwise(TEST))
+        .drop(_KEY)
+    )
+
+
+def random_split(
+    df: DataFrame,
+    weights: Sequence[float] = (0.9, 0.1),
+    seed: int = 1,
+    key_cols: Sequence[str] | None = None,
+) -> list[DataFrame]:
+    """Parts of a random split, one draw per row key."""
+    drawn = _keyed(df, key_cols).withColumn("_draw", uniform_draw(F.col(_KEY), seed)).drop(_KEY)
+    parts, whole, low = [], float(sum(weights)), 0.0
     for i, weight in enumerate(weights):
-        inside = F.col("draw") >= low
+        inside = F.col("_draw") >= low / whole
         if i < len(weights) - 1:
-            inside = inside & (F.col("draw") < low + weight)
-        parts.append(drawn.filter(inside).drop("draw"))
+            inside = inside & (F.col("_draw") < (low + weight) / whole)
+        parts.append(drawn.filter(inside).drop("_draw"))
         low += weight
     return parts
 
 
-def bootstrap(df: DataFrame, fraction: float, seed: int = 1) -> DataFrame:
-    """Sample with replacement, ``fraction`` of the rows on average.
+def bootstrap(
+    df: DataFrame, fraction: float, seed: int = 1, key_cols: Sequence[str] | None = None
+) -> DataFrame:
+    """Sample with replacement, ``fraction`` of the rows on average."""
+    return _copies(df, fraction, seed, key_cols).drop(_COPY, _KEY)
 
-    The draws follow row order inside a partition, which a recomputed shuffle
-    does not promise; the local sort makes a retried task draw the same rows.
-    """
-    orderable = [c for c, kind in df.dtypes if not kind.startswith(("map", "vector", "variant"))]
-    return df.sortWithinPartitions(*orderable).sample(True, fraction, seed)
+
+def _copies(df, fraction, seed, key_cols):
+    """Every row as often as a Poisson draw from its key says, with the copy's number."""
+    draw = uniform_draw(F.col(_KEY), seed)
+    keyed = _keyed(df, key_cols).withColumn("_draw", draw)
+    copies = F.lit(0)
+    for step in poisson_steps(fraction):
+        copies = copies + (F.col("_draw") >= step).cast("int")
+    often = keyed.withColumn("_often", copies).filter("_often > 0").drop("_draw")
+    return often.withColumn(_COPY, F.explode(F.sequence(F.lit(1), "_often"))).drop("_often")
 
 
 def sampled_split(
@@ -63,18 +123,26 @@ def sampled_split(
     weights: Sequence[float] = (0.9, 0.1),
     seed: int = 1,
     leaky: bool = False,
+    key_cols: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Train and test with a bootstrap of the train side.
 
     ``leaky`` samples before splitting, so copies of a row can land on both.
     """
     if leaky:
-        train, test = random_split(bootstrap(df, fraction, seed), weights, seed)
-        return train, test
-    train, test = random_split(df, weights, seed)
-    return bootstrap(train, fraction, seed), test
-
-
-def bagged_sample(train: DataFrame, sample_pct: float, model_id: int, base_seed: int = 1) -> DataFrame:
+        drawn = _copies(df, fraction, seed, key_cols)
+        train, test = random_split(drawn, weights, seed + 1, [_KEY, _COPY])
+        return train.drop(_COPY), test.drop(_COPY)
+    train, test = random_split(df, weights, seed, key_cols)
+    return bootstrap(train, fraction, seed + 1, key_cols), test
+
+
+def bagged_sample(
+    train: DataFrame,
+    sample_pct: float,
+    model_id: int,
+    base_seed: int = 1,
+    key_cols: Sequence[str] | None = None,
+) -> DataFrame:
     """The bag of one ensemble member; each member has its own seed."""
-    return bootstrap(train, sample_pct / 100.0, base_seed + model_id)
+    return bootstrap(train, sample_pct / 100.0, base_seed + model_id, key_cols)

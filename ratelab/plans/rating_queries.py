@@ -6,7 +6,14 @@ from ratelab.functions import cleaning
 from ratelab.operators import ensemble, evaluate
 from ratelab.operators.features import fit_index
 from ratelab.operators.joins import hot_keys, skew_join
-from ratelab.operators.sampling import bagged_sample, bootstrap, hash_split, random_split
+from ratelab.operators.sampling import (
+    DIGITS,
+    bagged_sample,
+    bootstrap,
+    hash_split,
+    poisson_steps,
+    random_split,
+)
 from ratelab.operators.star import join_books as rated_books
 from ratelab.plans import proxies
 from ratelab.shared import scratch_table_path
@@ -129,27 +136,25 @@ def read_split_train(spark, sf_dir):
 
 
 def random_split_query(spark, sf_dir):
-    train, test = random_split(proxies.rated(spark, sf_dir).select("row_key", "isbn", "rating"))
+    train, test = random_split(proxies.rated(spark, sf_dir).select("row_key", "isbn", "rating"), key_cols=KEY)
     return train.withColumn("split", F.lit(TRAIN)).unionAll(test.withColumn("split", F.lit(TEST)))
 
 
 def bootstrap_query(spark, sf_dir):
-    return bootstrap(proxies.rated(spark, sf_dir), 0.9, seed=7)
+    return bootstrap(proxies.rated(spark, sf_dir), 0.9, seed=7, key_cols=KEY)
 
 
 def bagged_sample_query(spark, sf_dir):
     train = _split(spark, sf_dir).filter(F.col("split") == TRAIN)
-    return bagged_sample(train, 66, model_id=2, base_seed=7)
+    return bagged_sample(train, 66, model_id=2, base_seed=7, key_cols=KEY)
 
 
 def feature_index(spark, sf_dir):
     """Indexes made on the train side, applied to every row."""
     columns = ["age", "year", "location", "publisher", "isbn"]
-    path = scratch_table_path(spark, "split")
-    write_split(_split(spark, sf_dir), path)
-    train = read_split(spark, path, TRAIN)
-    index = fit_index(train, columns)
-    rows = spark.read.parquet(path).select("row_key", *columns)
+    split = _split(spark, sf_dir)
+    index = fit_index(split.filter(F.col("split") == TRAIN), columns)
+    rows = split.select("row_key", *columns)
     return index.transform(rows).select(
         "row_key", *[F.col(f"{c}_index").cast("bigint").alias(f"{c}_index") for c in columns]
     )
@@ -160,10 +165,9 @@ def feature_index(spark, sf_dir):
 
 def ensemble_scores(spark, sf_dir):
     """Three simple predictors learned on the train side score the test side."""
-    path = scratch_table_path(spark, "split")
-    write_split(_split(spark, sf_dir), path)
-    train = read_split(spark, path, TRAIN).select("isbn", "age", "rating")
-    test = read_split(spark, path, TEST).select("row_key", "isbn", "age", "rating")
+    split = _split(spark, sf_dir)
+    train = split.filter(F.col("split") == TRAIN).select("isbn", "age", "rating")
+    test = split.filter(F.col("split") == TEST).select("row_key", "isbn", "age", "rating")
     by_isbn = train.groupBy("isbn").agg(F.min("rating").alias("low"), F.max("rating").alias("high"))
     by_age = train.groupBy("isbn", "age").agg(F.round(F.avg("rating")).alias("mean"))
     hot_isbn, hot_age = hot_keys(test, ["isbn"], ["isbn", "age"])
@@ -331,7 +335,27 @@ def _index_sql(columns):
     return f"WITH {SPLIT_SQL}, {', '.join(parts)} SELECT row_key, {values} FROM rated {joins}"
 
 
+
+def _draw_sql(seed):
+    return f"CAST('0x' || substr(md5(row_key || '|{seed}'), 1, {DIGITS}) AS BIGINT) / {float(16**DIGITS)!r}::DOUBLE"
+
+
+def _copies_sql(table, fraction, seed):
+    """Rows of a table as often as their draw says."""
+    steps = " + ".join(f"CAST(draw >= {s!r}::DOUBLE AS INTEGER)" for s in poisson_steps(fraction))
+    return f"""
+        SELECT * EXCLUDE (draw, copy)
+        FROM (SELECT *, unnest(range({steps})) AS copy FROM (SELECT *, {_draw_sql(seed)} AS draw FROM {table}))"""
+
+
 ORACLE = {
+    "random_split": f"""
+        WITH {RATED_SQL}
+        SELECT row_key, isbn, rating, CASE WHEN {_draw_sql(1)} < 0.9::DOUBLE THEN 'TRAIN' ELSE 'TEST' END AS split
+        FROM rated""",
+    "bootstrap": f"WITH {RATED_SQL} {_copies_sql('rated', 0.9, 7)}",
+    "bagged_sample": f"WITH {SPLIT_SQL}, marked AS (SELECT *, 'TRAIN' AS split FROM train) "
+    f"{_copies_sql('marked', 0.66, 9)}",
     "parse_books": f"""WITH {BOOK_LINES_SQL}
         SELECT isbn, title, author, year_raw, publisher FROM book_lines WHERE reason IS NULL""",
     "parse_ratings": f"""WITH {RATING_LINES_SQL}

@@ -243,3 +243,14 @@ def test_metric_rows_and_predictions(spark, tmp_path):
     tables.write_table(df, path, "csv")
     assert rows(tables.read_predictions(spark, path)) == [("a", 1.0, 2.5)]
     assert tables.preview(numbered(spark)).count() == 5
+
+
+def test_draws_do_not_depend_on_partitions(spark):
+    df = numbered(spark)
+    for keys in (["k"], None):
+        two, seven = (bootstrap(df.repartition(n), 0.9, 4, keys) for n in (2, 7))
+        assert sorted(rows(two)) == sorted(rows(seven))
+        two, seven = (random_split(df.repartition(n), (0.9, 0.1), 4, keys)[1] for n in (2, 7))
+        assert sorted(rows(two)) == sorted(rows(seven))
+    again = df.unionAll(df)
+    assert 6_800 < bootstrap(again, 0.9, 4).count() < 7_600
