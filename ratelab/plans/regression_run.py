@@ -3,10 +3,9 @@
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ratelab.functions.cleaning import clean_books, clean_users, drop_implicit, year_mean
-from ratelab.operators.evaluate import regression_rmse
+from ratelab.operators.evaluate import rmse_row
 from ratelab.operators.regressors import MAX_DEPTH, fit_regressor
 from ratelab.operators.sampling import bootstrap, draw_split
 from ratelab.operators.star import star
@@ -17,7 +16,6 @@ from ratelab.sources.tables import (
     metric_rows,
     prediction_rows,
     read_split,
-    write_model,
     write_split,
     write_table,
 )
@@ -68,11 +66,10 @@ def run_regression(spark: SparkSession, folder: str, run: RegressionRun) -> Data
     if not run.leaky:
         train = bootstrap(train, fraction, run.seed)
     model = fit_regressor(train, run.kind, max_depth=run.max_depth, seed=run.seed)
-    write_model(model, f"{out}/model", run.overwrite)
+    model.save(f"{out}/model", run.overwrite)
     predictions = model.transform(read_split(spark, f"{out}/split", TEST))
     rows = prediction_rows(predictions, with_label=run.kind == "tree")
     write_table(rows, f"{out}/predictions", overwrite=run.overwrite)
-    rmse = spark.range(1).select(F.lit(regression_rmse(predictions)).alias("rmse"))
-    labelled = metric_rows(rmse, {"rmse": "Root Mean Squared Error (RMSE) on test data"})
+    labelled = metric_rows(rmse_row(predictions), {"rmse": "rmse"})
     write_table(labelled, f"{out}/rmse", overwrite=run.overwrite)
     return labelled
