@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_SLICE = 2_000_000
-MAX_HOT_KEYS = 10_000
 
 # Entries a sketch tracks: any key with more than 3.5 / SKETCH_KEYS of all rows
-# is sure to be in it.
-SKETCH_KEYS = 16_384
+# is sure to be in it. Keys are hot from that share on, so that none is missed.
+SKETCH_KEYS = 32_768
+MAX_HOT_KEYS = SKETCH_KEYS * 2 // 7
 SKETCH_GROUPS = 64
 
 _UNHASHED = (T.MapType, T.UserDefinedType, T.VariantType)

@@ -33,12 +33,14 @@ def star(
     dedup: bool = True,
     book_order: Sequence[str] = (),
     user_order: Sequence[str] = (),
+    hot: tuple[HotKeys, HotKeys] | None = None,
 ) -> DataFrame:
     """Ratings with book and user columns; both joins are inner.
 
-    One pass over the ratings looks for books and users with very many of them.
+    ``hot`` are the isbns and the users with very many ratings, when the caller
+    knows them from narrower tables; otherwise one pass over the ratings looks.
     """
-    hot_books, hot_users = hot_keys(ratings, ["isbn"], ["user_id"])
+    hot_books, hot_users = hot or hot_keys(ratings, ["isbn"], ["user_id"])
     rated = join_books(ratings, books, dedup, book_order, hot_books)
     if dedup:
         users = last_per_key(users, ["user_id"], user_order).drop(*user_order)

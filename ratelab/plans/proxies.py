@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from ratelab.functions.cleaning import clean_books, clean_users, drop_implicit
 from ratelab.operators.graph import filter_max_id
-from ratelab.operators.joins import skew_join
+from ratelab.operators.joins import ROWS_PER_SLICE, HotKeys, hot_keys
 from ratelab.operators.star import star
 
 # Unique at the larger scale factors.
 ROW_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+LINES_PER_ORDER = 7
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,19 +74,31 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _ordered_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = table(spark, sf_dir, "lineitem").select(*ROW_KEY, "l_quantity")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    return skew_join(items, orders, ["l_orderkey"])
+    # An order has a handful of lines: no key is hot.
+    return items.join(orders, "l_orderkey")
 
 
 def row_key() -> Column:
     return F.concat_ws("|", *ROW_KEY)
 
 
+def hot_books_and_users(spark: SparkSession, sf_dir: str) -> tuple[HotKeys, HotKeys]:
+    """From one column of lineitem and one of orders, before any join."""
+    isbns = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").cast("string").alias("isbn"))
+    buyers = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("user_id"))
+    (hot_books,) = hot_keys(isbns, ["isbn"])
+    # Orders stand for up to LINES_PER_ORDER ratings each.
+    (hot_users,) = hot_keys(buyers, ["user_id"], rows_per_slice=ROWS_PER_SLICE // LINES_PER_ORDER)
+    return hot_books, hot_users
+
+
 def rated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned star with the row key, constant rules."""
     return star(
         clean_books(books(spark, sf_dir)),
         clean_users(users(spark, sf_dir)),
         drop_implicit(ratings(spark, sf_dir)),
+        hot=hot_books_and_users(spark, sf_dir),
     )
 
 

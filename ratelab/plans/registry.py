@@ -1,6 +1,7 @@
 """All registered queries, by name, with their SQL."""
 
-from ratelab.plans import graph_queries, model_queries, rating_queries
+from ratelab.plans import file_queries, graph_queries, model_queries, rating_queries
 
-QUERIES = {**graph_queries.QUERIES, **rating_queries.QUERIES, **model_queries.QUERIES}
-ORACLE = {**graph_queries.ORACLE, **rating_queries.ORACLE, **model_queries.ORACLE}
+_PARTS = (graph_queries, rating_queries, file_queries, model_queries)
+QUERIES = {name: query for part in _PARTS for name, query in part.QUERIES.items()}
+ORACLE = {name: sql for part in _PARTS for name, sql in part.ORACLE.items()}
