@@ -84,7 +84,9 @@ class Encoder:
         #: Ids of pieces after a blank, and of pieces that begin a text.
         self.known: dict[str, bytes] = {}
         self.firsts: dict[str, bytes] = {}
-        self.line_feed = spec["model"]["vocab"]["Ċ"]
+        vocab = spec["model"]["vocab"]
+        self.line_feed = vocab["Ċ"]
+        self.marks = {mark: vocab[mark].to_bytes(4, "little") for mark in ".,;:!?"}
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit integers."""
@@ -114,23 +116,41 @@ class Encoder:
 
     def _learn(self, new: set[str], firsts: set[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
         """Ids of pieces after a blank and of first pieces, which are remembered from now on."""
-        # Between line feeds every piece is cut into the same words as in its text.
-        plain, learned = [p for p in new if "\n" not in p], {}
-        if plain:
-            ids = self.library.encode_batch_fast([" " + "\n ".join(plain)], add_special_tokens=False)[0].ids
-            ids = np.array([*ids, self.line_feed], dtype="<u4")
-            data, start = ids.tobytes(), 0
-            for piece, end in zip(plain, (4 * np.flatnonzero(ids == self.line_feed)).tolist(), strict=True):
-                learned[piece] = data[start:end]
-                start = end + 4
-        learned |= self._each(" ", new.difference(plain))
-        began = self._each("", firsts)
+        # A single line feed inside a piece is a word of its own: the end of a line, and the first of the next.
+        lines = {p: tuple(p.split("\n")) for p in new if p.count("\n") == 1 and "\n" not in (p[0], p[-1])}
+        others = {p for p in new if "\n" in p} - lines.keys()
+        heads = (new - lines.keys() - others).union(head for head, _ in lines.values())
+        tails = {p for p in firsts if p and "\n" not in p}.union(tail for _, tail in lines.values())
+        learned = self._together(" ", heads, self.known)
+        began = self._together("", tails, self.firsts)
+        feed = self.line_feed.to_bytes(4, "little")
+        learned |= {p: learned[head] + feed + began[tail] for p, (head, tail) in lines.items()}
+        learned |= self._each(" ", others)
+        began |= self._each("", firsts - began.keys())
         for known, more, most in ((self.known, learned, CACHE_CHUNKS), (self.firsts, began, CACHE_CHUNKS // 10)):
             if len(known) + len(more) > most:
                 known.clear()
             known.update(more)
         return learned, began
 
+    def _together(self, blank: str, pieces: set[str], known: dict[str, bytes]) -> dict[str, bytes]:
+        """Ids of pieces without line feeds, and of what they are made of, by one call of the library."""
+        # A mark after letters alone is a word of its own as well.
+        stems = {p: p[:-1] for p in pieces if p not in known and p[-1] in self.marks and p[:-1].isalpha()}
+        wanted = (pieces - stems.keys()).union(stems.values())
+        found = {p: known[p] for p in wanted if p in known}
+        fresh = sorted(wanted - found.keys())
+        if fresh:
+            # Between line feeds every piece is cut into the same words as in its text.
+            text = blank + f"\n{blank}".join(fresh)
+            ids = self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
+            ids = np.array([*ids, self.line_feed], dtype="<u4")
+            data, start = ids.tobytes(), 0
+            for piece, end in zip(fresh, (4 * np.flatnonzero(ids == self.line_feed)).tolist(), strict=True):
+                found[piece] = data[start:end]
+                start = end + 4
+        return found | {p: found[stem] + self.marks[p[-1]] for p, stem in stems.items()}
+
     def _each(self, blank: str, pieces: set[str]) -> dict[str, bytes]:
         some = sorted(pieces)
         found = self.library.encode_batch_fast([blank + p for p in some], add_special_tokens=False)
