@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ratelab.llm.rows import KEY, keep_one, row_key
 from ratelab.llm.skew import join_unique
 from ratelab.shared import cut_lineage
 
@@ -78,6 +79,13 @@ def exact_dedup(
     Other columns, whatever their names, are not looked at; an empty table
     gives an empty result.
     """
+    return _decided(docs, id_col, text_col, rule, identifiers).select(
+        F.col("id").alias(id_col), "keep_id", "group_size", "kept", "text_sha256", "n_chunks"
+    )
+
+
+def _decided(docs, id_col, text_col, rule=ChunkRule(), identifiers=IDENTIFIERS, **more: Column) -> DataFrame:
+    """The report under inner names, with columns ``more`` of the documents."""
     text = F.coalesce(text_col, F.lit(""))
     identify = verified_identifier(docs, text, rule, identifiers)
     listed = cut_lineage(
@@ -85,23 +93,30 @@ def exact_dedup(
             F.col(id_col).alias("id"),
             F.transform(rule.chunks(text), identify).alias("recipe"),
             F.sha2(text, 256).alias("text_sha256"),
+            *(column.alias(name) for name, column in more.items()),
         )
     )
     groups = listed.groupBy("recipe").agg(
         F.max("id").alias("keep_id"), F.count("*").alias("group_size")
     )
     return join_unique(listed, groups, "recipe").select(
-        F.col("id").alias(id_col),
+        "id",
         "keep_id",
         "group_size",
         F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
         "text_sha256",
         F.size("recipe").alias("n_chunks"),
+        *more,
     )
 
 
 def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents without those that ``exact_dedup`` drops, all columns as they were."""
-    report = exact_dedup(docs, id_col, text_col, **options)
-    dropped = report.where(~F.col("kept")).select(F.col(id_col).alias("dropped_id"))
-    return docs.join(dropped, docs[id_col].eqNullSafe(dropped["dropped_id"]), "left_anti")
+    """Exactly one document of each group of equal texts, all columns as they were.
+
+    It has the id that ``exact_dedup`` keeps; of rows that repeat this id and
+    text, or of a group without any id, any one row is kept. Each text is
+    decided by itself, so an id with two texts may keep one and lose the other.
+    """
+    report = _decided(docs, id_col, text_col, **options, **{KEY: row_key(id_col, text_col)})
+    keys = report.where("kept").groupBy(KEY).agg(F.count("*").alias("_row_count"))
+    return keep_one(docs, keys, id_col, text_col)

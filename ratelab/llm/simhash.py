@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelab.llm.components import connected_components
+from ratelab.llm.rows import KEY, row_key
 from ratelab.llm.skew import join_unique
 from ratelab.llm.tasks import map_batches
 from ratelab.shared import cut_lineage
@@ -69,18 +70,22 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """``id, fp``: the fingerprint as a signed 64-bit number."""
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, **more: Column
+) -> DataFrame:
+    """``id, fp``: the fingerprint as a signed 64-bit number; and columns ``more`` of the documents."""
+    names = list(more)
 
     def run(batches):
         for batch in batches:
             found = [fingerprint(t.as_py(), words) for t in batch.column("text")]
             fps = pa.array(np.array(found, dtype=np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), fps], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), fps, *batch.columns[2:]], names=["id", "fp", *names])
 
-    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = named.schema["id"].dataType.simpleString()
-    return map_batches(named, run, f"id {kind}, fp bigint")
+    extra = [column.alias(name) for name, column in more.items()]
+    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *extra)
+    types = {f.name: f.dataType.simpleString() for f in named.schema}
+    return map_batches(named, run, ", ".join([f"id {types['id']}", "fp bigint", *(f"{n} {types[n]}" for n in names)]))
 
 
 def _flip(word: Column, position: Column) -> Column:
@@ -139,7 +144,17 @@ def simhash_dedup(
     take part, but never name a component unless no row of it has an id; rows
     that repeat an id share its decision. Other columns are not looked at.
     """
-    printed = cut_lineage(fingerprints(docs, id_col, text_col, words))
+    return _decided(docs, id_col, text_col, words, max_bits).select(
+        F.col("id").alias(id_col),
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        "component_id",
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+    )
+
+
+def _decided(docs, id_col, text_col, words=WORDS, max_bits=MAX_BITS, **more: Column) -> DataFrame:
+    """``id, fp, component_id``, the fingerprint ``component`` that names the group, and columns ``more``."""
+    printed = cut_lineage(fingerprints(docs, id_col, text_col, words, **more))
     prints = printed.groupBy("fp").agg(F.min("id").alias("low"))
     pairs = close_pairs(prints.select("fp"), max_bits)
     linked = cut_lineage(connected_components(pairs, "a", "b"))
@@ -148,20 +163,22 @@ def simhash_dedup(
         .groupBy("component")
         .agg(F.min("low").alias("linked_low"))
     )
-    named = linked.join(lows, "component").select(F.col("node").alias("fp"), "linked_low")
+    named = linked.join(lows, "component").select(F.col("node").alias("fp"), "component", "linked_low")
     lowest = prints.join(named, "fp", "left").select(
-        "fp", F.when(F.col("linked_low").isNull(), F.col("low")).otherwise(F.col("linked_low")).alias("component_id")
-    )
-    return join_unique(printed, lowest, "fp").select(
-        F.col("id").alias(id_col),
-        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-        "component_id",
-        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+        "fp",
+        F.coalesce("component", "fp").alias("component"),
+        F.when(F.col("linked_low").isNull(), F.col("low")).otherwise(F.col("linked_low")).alias("component_id"),
     )
+    return join_unique(printed, lowest, "fp").select("id", "fp", "component", "component_id", *more)
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents without those that ``simhash_dedup`` drops, all columns as they were."""
-    report = simhash_dedup(docs, id_col, text_col, **options)
-    dropped = report.where(~F.col("kept")).select(F.col(id_col).alias("dropped_id"))
-    return docs.join(dropped, docs[id_col].eqNullSafe(dropped["dropped_id"]), "left_anti")
+    """One document of each group that ``simhash_dedup`` links, all columns as they were.
+
+    It has the smallest id of its group; of several texts with this id, or
+    without any, one is kept. Rows that repeat its id and text stay with it.
+    """
+    report = _decided(docs, id_col, text_col, **options, **{KEY: row_key(id_col, text_col)})
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", KEY))
+    keys = report.groupBy("component").agg(first.alias("first")).select(f"first.{KEY}")
+    return docs.withColumn(KEY, row_key(id_col, text_col)).join(keys, KEY).select(docs.columns)

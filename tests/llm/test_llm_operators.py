@@ -131,6 +131,23 @@ def test_keep_first_copies(docs):
     assert sorted(r["doc_id"] for r in left.where("doc_id IS NOT NULL").collect()) == [1, 2, 3, 4, 6, 7, 9, 10, 11]
 
 
+def test_dedup_decides_rows_not_ids(spark):
+    copies = [(None, "same text here", "en", "s", 0), (1, "same text here", "en", "s", 0)]
+    alone = [(None, "only once without id", "en", "s", 0), (2, "first text of two", "en", "s", 0)]
+    two = [(2, "text with a larger id elsewhere", "en", "s", 0), (3, "text with a larger id elsewhere", "en", "s", 0)]
+    unnamed = [(None, "copies without ids", "en", "s", 0)] * 3
+    df = spark.createDataFrame([*copies, *alone, *two, *unnamed, *[(7, "the same row", "en", "s", 0)] * 2], DOCS)
+    got = chunk_dedup.keep_first_copies(df.repartition(3))
+    assert got.columns == df.columns
+    want = {(1, "same text here"), (None, alone[0][1]), (2, alone[1][1]), (3, two[0][1]), (None, unnamed[0][1]), (7, "the same row")}
+    rows = [(r["doc_id"], r["text"]) for r in got.collect()]
+    assert len(rows) == len(want) and set(rows) == want
+    # The smallest id is kept here; rows that repeat its id and text stay with it.
+    left = [(r["doc_id"], r["text"]) for r in simhash.keep_representatives(df).collect()]
+    want = (want - {(3, two[0][1])}) | {(2, two[0][1])}
+    assert set(left) == want and len(left) == len(want) + 2 + 1
+
+
 # 2. Embedding near-dedup.
 
 
