@@ -23,6 +23,7 @@ from ratelab.llm import (
     language,
     mixing,
     ordered,
+    shingle_dedup,
     simhash,
     token_files,
     warc,
@@ -587,3 +588,43 @@ def test_simhash_dedup(docs, none):
     left = simhash.keep_representatives(clash(docs, "dropped_id", "fp"))
     assert left.columns == [*docs.columns, "dropped_id", "fp"]
     assert sorted(r["doc_id"] for r in left.where("doc_id IS NOT NULL").collect()) == [0, 3, 4, 5, 5, 7, 8, 11]
+
+
+# Near-dedup by shingles, of the pipeline.
+
+
+def test_keep_dissimilar(spark, docs, none):
+    rng = random.Random(8)
+    rows = [(None, "b a  c", "en", "s", 0), (None, "B a c", "en", "s", 0), (900, " ", "en", "s", 0), (901, None, "en", "s", 0)]
+    for group in range(12):
+        base = [f"w{rng.randrange(500)}" for _ in range(rng.choice([6, 40, 200]))]
+        for _ in range(12):
+            words = list(base)
+            for _ in range(rng.randrange(1 + len(words) // 20)):
+                words[rng.randrange(len(words))] = f"new{rng.randrange(500)}"
+            rows.append((len(rows), " ".join(words), "en", "s", 0))
+    rows += [(5, rows[5][1], "en", "s", 0), (5, "one id and another text of its own", "en", "s", 0)]
+    sets = [set(shingle_dedup.shingle_set(t).tolist()) for _, t, *_ in rows]
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    far = 0
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if x == sets[j] or len(x & sets[j]) >= 0.8 * len(x | sets[j]):
+                parent[root(i)] = root(j)
+                bits = simhash.fingerprint(rows[i][1]) ^ simhash.fingerprint(rows[j][1])
+                far += bits.bit_count() > 2
+    assert far > 20
+    groups = {}
+    for i, row in enumerate(rows):
+        groups.setdefault(root(i), []).append(row)
+    got = shingle_dedup.keep_dissimilar(clash(spark.createDataFrame(rows, DOCS).repartition(3), "size", "sha", "node"))
+    want = [min((r[0] is None, r[0] or 0) for r in group) for group in groups.values()]
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got.collect()) == sorted(want)
+    assert got.columns == [*docs.columns, "size", "sha", "node"]
+    assert shingle_dedup.keep_dissimilar(none).count() == 0
