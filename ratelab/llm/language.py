@@ -6,7 +6,6 @@ three, two, one. A text scores the mean over its words, whole and however long.
 """
 
 import math
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -14,6 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,9 +21,9 @@ from ratelab.llm.tasks import map_batches, ship_package
 
 UNKNOWN = "und"
 GRAMS = (4, 3, 2, 1)
-LETTERS = re.compile(r"[^\W\d_]+")
-#: The same in Java's notation.
-LETTERS_JVM = r"[\p{L}\p{M}]+"
+#: A word, when learning and when predicting: a letter, then letters and combining marks.
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+INSIDE = regex.compile(r"[\p{L}\p{M}]{2}")
 PIECE_CHARS = 1 << 20
 CACHE_WORDS = 300_000
 
@@ -76,9 +76,8 @@ def fit_language_model(
     )
     draw = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("fit")), F.lit(1 << 30)) / float(1 << 30)
     sample = labelled.where(draw < rates[F.col("lang")])
-    found = F.regexp_extract_all(F.lower("text"), F.lit(LETTERS_JVM), F.lit(0))
-    words = sample.select("lang", F.explode(found).alias("entry")).groupBy("lang", "entry").agg(F.count("*").alias("n"))
-    words = words.persist()
+    counted = map_batches(sample.select("lang", "text"), _counted, "lang string, entry string, n bigint")
+    words = counted.groupBy("lang", "entry").agg(F.sum("n").alias("n")).persist()
     padded = F.concat(F.lit(" "), F.col("entry"), F.lit(" "))
     try:
         word_rows = _most_frequent(words, rule.words)
@@ -96,6 +95,28 @@ def fit_language_model(
     return LanguageModel(languages, listed, logs, grams_listed, gram_logs)
 
 
+def word_counts(text: str | None) -> Counter[str]:
+    """Lower-cased words of a whole text."""
+    counts: Counter[str] = Counter()
+    for piece in _pieces(text or ""):
+        counts.update(WORD.findall(piece.lower()))
+    return counts
+
+
+def _counted(batches):
+    for batch in batches:
+        for lang, text in zip(batch.column("lang"), batch.column("text")):
+            counts = word_counts(text.as_py())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([lang.as_py()] * len(counts), pa.string()),
+                    pa.array(list(counts), pa.string()),
+                    pa.array(list(counts.values()), pa.int64()),
+                ],
+                names=["lang", "entry", "n"],
+            )
+
+
 def _most_frequent(counts: DataFrame, most: int) -> pd.DataFrame:
     """Counts by language of the ``most`` entries with the highest counts, ties by entry."""
     top = counts.groupBy("entry").agg(
@@ -145,9 +166,7 @@ class Scorer:
         return known
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        counts: Counter[str] = Counter()
-        for piece in _pieces(text or ""):
-            counts.update(LETTERS.findall(piece.lower()))
+        counts = word_counts(text)
         if not counts or not self.model.languages:
             return UNKNOWN, 0.0
         rows, times, total = [], [], np.zeros(len(self.model.languages))
@@ -170,7 +189,7 @@ def _pieces(text: str) -> Iterator[str]:
     start = 0
     while len(text) - start > PIECE_CHARS:
         end = start + PIECE_CHARS
-        while end < len(text) and LETTERS.match(text[end]) and LETTERS.match(text[end - 1]):
+        while end < len(text) and INSIDE.match(text, end - 1):
             end += 1
         yield text[start:end]
         start = end

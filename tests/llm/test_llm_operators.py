@@ -230,6 +230,23 @@ def test_backoff_uses_the_longest_known_grams(spark):
     assert np.allclose(scorer.backoff("qqq"), scorer.model.gram_logs[scorer.model.grams[" "]])
 
 
+def test_words_with_marks_are_learned_and_predicted_alike(spark, monkeypatch):
+    hindi, marathi = "किताब हिन्दी में", "पुस्तक मराठीत आहे"
+    rows = [(1, hindi, "hi", "s", 0), (2, marathi, "mr", "s", 0), (3, "ภาษาไทย", "th", "s", 0), (4, "cafe\u0301", "fr", "s", 0)]
+    learned = spark.createDataFrame(rows, DOCS)
+    model = language.fit_language_model(learned)
+    assert set(model.words) == {*hindi.split(), *marathi.split(), "ภาษาไทย", "cafe\u0301"}
+    scorer = language.Scorer(model)
+    for _, text, lang, _, _ in rows:
+        assert scorer.predict(text)[0] == lang
+        assert set(language.word_counts(text)) <= set(model.words)
+    assert not scorer.unlisted
+    for text in ("½ ¾ ²³ ①② Ⅳ", "\u0301\u093f", "१२३"):
+        assert scorer.predict(text) == ("und", 0.0)
+    monkeypatch.setattr(language, "PIECE_CHARS", 3)
+    assert language.word_counts(hindi) == dict.fromkeys(hindi.split(), 1)
+
+
 # 4. Mixing.
 
 
