@@ -21,6 +21,8 @@ from ratelab.llm.tasks import map_batches, ship_package
 
 UNKNOWN = "und"
 GRAMS = (4, 3, 2, 1)
+#: An unlisted word with a listed n-gram of this length still counts as known.
+KNOWN_GRAM = 3
 #: A word, when learning and when predicting: a letter, then letters and combining marks.
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 INSIDE = regex.compile(r"[\p{L}\p{M}]{2}")
@@ -146,18 +148,22 @@ class Scorer:
 
     def __init__(self, model: LanguageModel):
         self.model = model
-        self.unlisted: dict[str, np.ndarray] = {}
+        self.unlisted: dict[str, tuple[np.ndarray, int]] = {}
 
     def backoff(self, word: str) -> np.ndarray:
         """Mean log frequency of the longest n-grams of the word that the model lists."""
+        return self._longest(word)[0]
+
+    def _longest(self, word: str) -> tuple[np.ndarray, int]:
+        """Also the length of these n-grams, 0 if none is listed."""
         known = self.unlisted.get(word)
         if known is None:
-            padded, known = f" {word} ", self.model.gram_logs[-1]
+            padded, known = f" {word} ", (self.model.gram_logs[-1], 0)
             for size in GRAMS:
                 rows = [self.model.grams.get(padded[i : i + size]) for i in range(len(padded) - size + 1)]
                 rows = [r for r in rows if r is not None]
                 if rows:
-                    known = self.model.gram_logs[rows].mean(axis=0)
+                    known = self.model.gram_logs[rows].mean(axis=0), size
                     break
             if len(self.unlisted) >= CACHE_WORDS:
                 self.unlisted.clear()
@@ -165,6 +171,17 @@ class Scorer:
                 self.unlisted[word] = known
         return known
 
+    def known_share(self, text: str | None) -> float:
+        """Share of the words that are listed or have a listed n-gram of ``KNOWN_GRAM`` characters or more.
+
+        Neither the number of languages nor how alike they are plays a part.
+        """
+        counts, known = word_counts(text), 0
+        for word, n in counts.items():
+            if word in self.model.words or self._longest(word)[1] >= KNOWN_GRAM:
+                known += n
+        return known / sum(counts.values()) if counts else 0.0
+
     def predict(self, text: str | None) -> tuple[str, float]:
         counts = word_counts(text)
         if not counts or not self.model.languages:
@@ -226,9 +243,9 @@ def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
 
 
 def keep_known_languages(
-    docs: DataFrame, model: LanguageModel, least_score: float, text_col: str = "text"
+    docs: DataFrame, model: LanguageModel, least_known: float, text_col: str = "text"
 ) -> DataFrame:
-    """The documents whose text is predicted as a learned language with at least that score.
+    """The documents with a letter of whose words the model knows at least that share (``Scorer.known_share``).
 
     Rows keep all their columns; whole rows pass through once, nothing is shuffled.
     """
@@ -239,7 +256,6 @@ def keep_known_languages(
     def known(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(shared.value)
         for batch in texts:
-            found = [scorer.predict(t) for t in batch]
-            yield pd.Series([lang != UNKNOWN and score >= least_score for lang, score in found], dtype=bool)
+            yield pd.Series([0 < (share := scorer.known_share(t)) >= least_known for t in batch], dtype=bool)
 
     return docs.where(known(text_col))

@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from ratelab.llm import (
     bpe,
     chat,
@@ -247,6 +248,18 @@ def test_words_with_marks_are_learned_and_predicted_alike(spark, monkeypatch):
     assert language.word_counts(hindi) == dict.fromkeys(hindi.split(), 1)
 
 
+@pytest.mark.parametrize("n", [2, 4, 20])
+def test_kept_texts_do_not_depend_on_the_number_of_languages(spark, n):
+    shared = "all of these close variants write the very same words"
+    rows = [(i, f"{shared} {'abcdefghijklmnopqrst'[i]}word", f"l{i}", "s", 0) for i in range(n)]
+    model = language.fit_language_model(spark.createDataFrame(rows, DOCS))
+    texts = [shared, "these words alike", "Кириллица здесь совсем новая", "漢字 한국", "these Кириллица здесь новая", "12 !?"]
+    asked = spark.createDataFrame([(i, t, None, "s", 0) for i, t in enumerate(texts)], DOCS)
+    assert language.Scorer(model).predict(shared)[1] < 1 / n + 1e-6
+    kept = language.keep_known_languages(asked, model, corpus_pipeline.LEAST_KNOWN)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1]
+
+
 # 4. Mixing.
 
 
