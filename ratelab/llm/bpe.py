@@ -340,26 +340,49 @@ def load(path: str) -> Tokenizer:
 
 
 def encode_documents(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()
+    docs: DataFrame,
+    path: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: Sequence[str] = (),
+    decoded: bool = False,
 ) -> DataFrame:
     """``id, ids`` and between them the columns to ``carry``: an array of the ids of each whole text.
 
-    A null text counts as empty, without ids. No row moves. Rows that repeat an
+    If ``decoded``, the ids are decoded again as they come out and the hash of
+    that text is a last column ``decoded_sha256``. A null text counts as empty, without ids. No row moves. Rows that repeat an
     id are encoded each; an empty table gives an empty one.
     """
 
+    def one(tokenizer: Tokenizer, text: str, hashes: list[str]) -> bytes:
+        pieces = tokenizer.encode(text)
+        if not decoded:
+            return b"".join(pieces)
+        text_hash, decoder, out = hashlib.sha256(), tokenizer.decoder(), []
+        for data in pieces:
+            out.append(data)
+            if data:
+                text_hash.update(decoder.feed(np.frombuffer(data, dtype="<u4").tolist()).encode())
+        text_hash.update(decoder.finish().encode())
+        hashes.append(text_hash.hexdigest())
+        return b"".join(out)
+
     def run(batches):
         tokenizer = load(path)
         for batch in batches:
-            found = [b"".join(tokenizer.encode(t.as_py() or "")) for t in batch.column(1)]
+            hashes: list[str] = []
+            found = [one(tokenizer, t.as_py() or "", hashes) for t in batch.column(1)]
             ends = np.cumsum([0, *(len(x) // 4 for x in found)])
             values = pa.array(np.frombuffer(b"".join(found), dtype="<u4").astype(np.int32))
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
             columns = [batch.column(0), *batch.columns[2:], ids]
-            yield pa.RecordBatch.from_arrays(columns, names=[id_col, *carry, "ids"])
+            columns += [pa.array(hashes, pa.string())] * decoded
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     named = docs.select(id_col, text_col, *carry)
     schema = T.StructType([f for f in named.schema if f.name != text_col]).add("ids", T.ArrayType(T.IntegerType()))
+    if decoded:
+        schema = schema.add("decoded_sha256", T.StringType())
     return map_batches(named, run, schema)
 
 

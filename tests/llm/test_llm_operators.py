@@ -449,6 +449,18 @@ def test_bpe_over_documents(docs, none, tokenizers):
     assert bpe.round_trip(none, WORD_BPE).count() == 0 == bpe.encode_documents(none, WORD_BPE).count()
 
 
+def test_tokenize_stage_decodes(spark, docs, tokenizers):
+    _, library = tokenizers
+    got = corpus_pipeline.tokenize(spark, docs, "")
+    assert got.columns == ["doc_id", "lang", "source", "ids", "n_tokens", "decoded_sha256"]
+    rows = got.collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        text = library.decode(r["ids"], skip_special_tokens=False)
+        assert r["n_tokens"] == len(r["ids"])
+        assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
 # 7. Chat formatting.
 
 
