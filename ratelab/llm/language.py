@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratelab.llm.tasks import map_batches, ship_package
@@ -33,8 +33,8 @@ CACHE_WORDS = 300_000
 @dataclass(frozen=True)
 class FitRule:
     """Bounds of the model. About ``docs_per_language`` labelled documents of each
-    language are learned from, chosen by a hash of the id; the ``words`` and, for
-    each length, ``grams`` with the highest counts are kept."""
+    language are learned from, chosen by a hash of the id; of each language the
+    ``words`` and, for each length, ``grams`` with its highest counts are kept."""
 
     docs_per_language: int = 5_000
     words: int = 100_000
@@ -120,12 +120,10 @@ def _counted(batches):
 
 
 def _most_frequent(counts: DataFrame, most: int) -> pd.DataFrame:
-    """Counts by language of the ``most`` entries with the highest counts, ties by entry."""
-    top = counts.groupBy("entry").agg(
-        F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("langs")
-    )
-    top = top.orderBy(F.desc("total"), "entry").limit(most)
-    return top.select("entry", F.explode("langs").alias("x")).select("entry", "x.lang", "x.n").toPandas()
+    """Counts in all languages of each language's ``most`` entries with its highest counts, ties by entry."""
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), "entry")
+    top = counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
+    return counts.join(top.select("entry").distinct(), "entry").select("entry", "lang", "n").toPandas()
 
 
 def _log_table(rows: pd.DataFrame, languages, smoothing, by_size=False):

@@ -260,6 +260,15 @@ def test_kept_texts_do_not_depend_on_the_number_of_languages(spark, n):
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1]
 
 
+def test_each_language_has_its_own_entries(spark):
+    rows = [(i, "big words of large languages " * 50, f"l{i}", "s", 0) for i in range(9)] + [(20, "tiny qqqq", "t", "s", 0)]
+    rule = language.FitRule(words=3, grams=5)
+    model = language.fit_language_model(spark.createDataFrame(rows, DOCS), rule=rule)
+    assert set(model.words) == {"big", "languages", "large", "qqqq", "tiny"}
+    assert {"qqqq", " qqq"} <= set(model.grams)
+    assert language.Scorer(model).predict("qqqq")[0] == "t"
+
+
 # 4. Mixing.
 
 
