@@ -82,18 +82,18 @@ def fit_language_model(
     words = counted.groupBy("lang", "entry").agg(F.sum("n").alias("n")).persist()
     padded = F.concat(F.lit(" "), F.col("entry"), F.lit(" "))
     try:
-        word_rows = _most_frequent(words, rule.words)
+        word_rows = _most_frequent(words, rule.words, languages)
         gram_rows = []
         for size in GRAMS:
             starts = F.sequence(F.lit(1), F.length(padded) - (size - 1))
             grams = words.where(F.length(padded) >= size).select(
                 "lang", F.explode(F.transform(starts, lambda i: F.substr(padded, i, F.lit(size)))).alias("entry"), "n"
             )
-            gram_rows.append(_most_frequent(grams.groupBy("lang", "entry").agg(F.sum("n").alias("n")), rule.grams))
+            gram_rows.append(_most_frequent(grams.groupBy("lang", "entry").agg(F.sum("n").alias("n")), rule.grams, languages))
     finally:
         words.unpersist()
-    listed, logs = _log_table(word_rows, languages, rule.smoothing)
-    grams_listed, gram_logs = _log_table(pd.concat(gram_rows), languages, rule.smoothing, by_size=True)
+    listed, logs = _log_table([word_rows], rule.smoothing)
+    grams_listed, gram_logs = _log_table(gram_rows, rule.smoothing, by_size=True)
     return LanguageModel(languages, listed, logs, grams_listed, gram_logs)
 
 
@@ -119,19 +119,18 @@ def _counted(batches):
             )
 
 
-def _most_frequent(counts: DataFrame, most: int) -> pd.DataFrame:
-    """Counts in all languages of each language's ``most`` entries with its highest counts, ties by entry."""
+def _most_frequent(counts: DataFrame, most: int, languages) -> tuple[list[str], np.ndarray]:
+    """Each language's ``most`` entries with its highest counts, ties by entry, and their counts in all languages."""
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "entry")
     top = counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
-    return counts.join(top.select("entry").distinct(), "entry").select("entry", "lang", "n").toPandas()
+    each = (F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{i}") for i, lang in enumerate(languages))
+    found = counts.join(top.select("entry").distinct(), "entry").groupBy("entry").agg(*each).toArrow()
+    return found["entry"].to_pylist(), np.column_stack([c.to_numpy() for c in found.columns[1:]])
 
 
-def _log_table(rows: pd.DataFrame, languages, smoothing, by_size=False):
-    entries = {e: i for i, e in enumerate(sorted(set(rows["entry"])))}
-    counts = np.zeros((len(entries) + 1, len(languages)))
-    column = {lang: j for j, lang in enumerate(languages)}
-    for entry, lang, n in rows.itertuples(index=False, name=None):
-        counts[entries[entry], column[lang]] += n
+def _log_table(rows: list[tuple[list[str], np.ndarray]], smoothing, by_size=False):
+    entries = {e: i for i, e in enumerate(e for listed, _ in rows for e in listed)}
+    counts = np.vstack([*(found for _, found in rows), np.zeros((1, rows[0][1].shape[1]))])
     sizes = np.array([len(e) for e in entries] + [0]) if by_size else np.zeros(len(entries) + 1)
     logs = np.zeros_like(counts)
     for size in np.unique(sizes):
