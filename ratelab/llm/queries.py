@@ -1,5 +1,7 @@
 """Registered queries of the training-data operators, and their SQL."""
 
+from string import ascii_lowercase, ascii_uppercase
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +12,10 @@ from ratelab.llm import (
     chunk_dedup,
     embedding_dedup,
     hash_tree,
+    html_text,
     language,
+    lexical,
+    merkle,
     mixing,
     simhash,
     sql,
@@ -107,6 +112,35 @@ def op10_anchor_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_min_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract_main_text(pages, html_text.fit_shapes(pages))
+
+
+def op12_interval_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")
+
+
+TAMPERED = 3
+
+
+def op13_slot_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % TAMPERED == 0
+    lowered = F.translate("text", ascii_uppercase, ascii_lowercase)
+    text = F.when(tampered, lowered).otherwise(F.col("text"))
+    claimed = merkle.leaf_digest([text if c == "text" else F.col(c) for c in merkle.FIELDS])
+    proofs = merkle.merkle_proofs(table(spark, sf_dir, "documents"), carry={"claimed": claimed})
+    folded = proofs.withColumn("folded", merkle.fold(F.col("claimed"), F.col("path")))
+    return folded.select(
+        F.col("id").alias("doc_id"),
+        *(merkle.as_text(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")),
+        F.sha2(merkle.path_text(F.col("path")), 256).alias("proof_sha256"),
+        merkle.as_text(F.col("folded")).alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -120,6 +154,9 @@ QUERIES = {
         op8_hash_tree,
         op9_dictionary_files,
         op10_anchor_simhash,
+        op11_min_cut,
+        op12_interval_search,
+        op13_slot_pivot,
     )
 }
 
@@ -129,5 +166,7 @@ ORACLE = {
     "op4_source_schedule": sql.SOURCE_MIX,
     "op5_indexed_warc": sql.WARC_RECORDS,
     "op7_chat_format": sql.chat_format(PLANTED),
+    "op12_interval_search": sql.INTERVAL_SEARCH,
+    "op13_slot_pivot": sql.SLOT_PIVOT,
     "op8_hash_tree": sql.hash_tree(hash_tree.even_topology(SHARDS)),
 }

@@ -3,6 +3,10 @@
 from ratelab.llm.chat import AND, END, LEARNED_ROLE, TURN
 from ratelab.llm.hash_tree import DIGITS, Topology
 
+CRC_CODES = """
+    codes AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                  lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS code)"""
+
 EXACT_COPIES = """
     WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
     SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -131,8 +135,7 @@ def hash_tree(topology: Topology) -> str:
     return f"""
     WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
     ids AS (SELECT DISTINCT doc_id FROM d), {steps(topology, "now")}, {steps(topology.grown(), "grown")},
-    codes AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
-                  lambda c, x: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS code),
+    {CRC_CODES},
     hexed AS (SELECT doc_id, strlen(text) AS n, hex(encode(text)) AS h FROM d),
     bytes AS (SELECT doc_id, n, list_transform(range(n), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT) AS b
               FROM hexed),
@@ -145,3 +148,105 @@ def hash_tree(topology: Topology) -> str:
     FROM (SELECT c.doc_id, c.size, c.text_crc32, now.shard, grown.shard AS grown_shard
           FROM checksums c JOIN now ON now.doc_id IS NOT DISTINCT FROM c.doc_id
           JOIN grown ON grown.doc_id IS NOT DISTINCT FROM c.doc_id)"""
+
+
+INTERVAL_SEARCH = r"""
+    WITH words AS (
+        SELECT i, doc_id, unnest(regexp_extract_all(
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM (SELECT row_number() OVER () AS i, doc_id, text FROM documents)),
+    postings AS (SELECT i, doc_id, term, count(*) AS tf FROM words GROUP BY i, doc_id, term),
+    lengths AS (SELECT i, sum(tf)::BIGINT AS n FROM postings GROUP BY i),
+    whole AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM lengths),
+    weights AS (SELECT term, floor(1000 * ln((2 * max(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+                FROM postings, whole GROUP BY term),
+    asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+              FROM benchmark),
+    scored AS (SELECT item_id, i, doc_id,
+                      sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))))::BIGINT
+                          AS score
+               FROM asked JOIN postings USING (term) JOIN weights USING (term) JOIN lengths USING (i), whole
+               GROUP BY item_id, i, doc_id)
+    SELECT item_id, row_number() OVER best::INTEGER AS rank, doc_id, score FROM scored WHERE score > 0
+    WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)
+    QUALIFY row_number() OVER best <= 10"""
+
+
+def _tree_steps(name: str, start: str, levels: int) -> str:
+    """CTEs ``<name>1`` and so on: runs of 8 children; a tree with one node left stays as it is."""
+    steps, below = [], start
+    for k in range(1, levels + 1):
+        above = f"{name}{k}"
+        steps.append(f"""
+    {above}_runs AS (SELECT tree, place // 8 AS place, max(size) AS size, list(digest ORDER BY place) AS kids
+                     FROM {below} GROUP BY tree, place // 8),
+    {above} AS (SELECT tree, place, size > 1 AS grown, kids, (size + 7) // 8 AS size,
+                       CASE WHEN size > 1 THEN sha256(array_to_string(kids, '')) ELSE kids[1] END AS digest
+                FROM {above}_runs)""")
+        below = above
+    return ", ".join(steps)
+
+
+def slot_pivot(levels: int = 8, group_levels: int = 4) -> str:
+    """Trees of up to 8 to the ``levels`` rows, and a tree over their roots."""
+
+    def written(c):
+        text = f"{c}::VARCHAR"
+        return f"coalesce(strlen({text})::VARCHAR || ':' || {text}, '-')"
+
+    def leaf(text):
+        return "sha256(" + " || ".join(written(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    def before(k):
+        return f"array_to_string({k}.kids[1:slot], '')"
+
+    def after(k):
+        return f"array_to_string({k}.kids[slot + 2:], '')"
+
+    climbs, joined = [], "leaves"
+    rounds = [(f"up{k}", "tree", "place") for k in range(1, levels + 1)]
+    rounds += [(f"top{k}", "0", "tree") for k in range(1, group_levels + 1)]
+    power = {"place": 1, "tree": 1}
+    for n, (k, tree, place) in enumerate(rounds):
+        # The node's place at this level, its slot in the run, and the run's place above.
+        at = f"(l.{place} // {power[place]})"
+        power[place] *= 8
+        on = f"{k}.place = l.{place} // {power[place]} AND {k}.tree = " + ("l.tree" if tree == "tree" else "0")
+        climbs.append(f"""
+    climb{n} AS (SELECT l.* REPLACE (
+                     CASE WHEN grown THEN l.proof || {before(k)} || {after(k)} ELSE l.proof END AS proof,
+                     CASE WHEN grown THEN sha256({before(k)} || l.folded || {after(k)}) ELSE l.folded END AS folded)
+                 FROM (SELECT l.*, {at} % 8 AS slot FROM {joined} l) l JOIN {k} ON {on})""".replace(
+            "l.* REPLACE", "l.* EXCLUDE (slot) REPLACE"))
+        joined = f"climb{n}"
+    return f"""
+    WITH {CRC_CODES},
+    d AS (SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+                 xor(4294967295, list_reduce([4294967295] || list_transform(range(strlen(doc_id::VARCHAR)),
+                         lambda i: ascii(substr(doc_id::VARCHAR, i + 1, 1))::BIGINT),
+                     lambda c, x: xor(code[(xor(c, x) & 255) + 1], c >> 8))) % 3 = 0 AS tampered
+          FROM documents, codes),
+    hashed AS (SELECT doc_id, tree, {leaf("text")} AS leaf,
+                      CASE WHEN tampered THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+                           ELSE text END AS claimed_text, source, lang, n_chars
+               FROM d),
+    claims AS (SELECT doc_id, tree, leaf, {leaf("claimed_text")} AS claimed FROM hashed),
+    leaves AS (SELECT doc_id, tree, leaf, claimed AS folded, '' AS proof,
+                      row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+                      count(*) OVER (PARTITION BY tree) AS size
+               FROM claims),
+    up0 AS (SELECT tree, place, size, leaf AS digest FROM leaves),
+    {_tree_steps("up", "up0", levels)},
+    subroots AS (SELECT tree, digest FROM up{levels}),
+    top0 AS (SELECT 0 AS tree, tree AS place, count(*) OVER () AS size, digest FROM subroots),
+    {_tree_steps("top", "top0", group_levels)},
+    {", ".join(climbs)}
+    SELECT doc_id, leaf, subroots.digest AS subroot, top{group_levels}.digest AS root, sha256(proof) AS proof_sha256,
+           folded AS folded_root, folded = top{group_levels}.digest AS verified
+    FROM {joined} c JOIN subroots USING (tree), top{group_levels}"""
+
+
+SLOT_PIVOT = slot_pivot()

@@ -1,0 +1,290 @@
+"""Main text of pages, ranked search and the manifest: small tables, odd input, brute force."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from html import unescape
+from itertools import product
+from pathlib import Path
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from ratelab.llm import html_text, lexical, merkle, mincut, queries
+from ratelab.llm.html_blocks import page_blocks
+
+DATA = Path("/root/testdata/sf0.01")
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def clash(df, *names):
+    for name in names:
+        df = df.withColumn(name, F.lit("extra"))
+    return df
+
+
+# 11. HTML extraction.
+
+
+def test_labels_cost_least():
+    rng = random.Random(11)
+    for _ in range(300):
+        n = rng.randrange(1, 9)
+        lean = [rng.randrange(-6, 7) for _ in range(n)]
+        edges = [(a, b, rng.randrange(1, 5)) for a in range(n) for b in range(a) if rng.random() < 0.4]
+
+        def cost(labels):
+            against = sum(abs(w) for w, up in zip(lean, labels) if (w > 0) != up)
+            return against + sum(c for a, b, c in edges if labels[a] != labels[b])
+
+        best = min((cost(labels), -sum(labels)) for labels in product((False, True), repeat=n))
+        got = mincut.least_cost_labels(lean, edges)
+        assert (cost(got), -sum(got)) == best
+    assert mincut.least_cost_labels([], []) == []
+    assert mincut.least_cost_labels([0], []) == [True]
+
+
+def test_long_pages_are_labelled():
+    n = 20_000
+    lean = [3 if i % 7 else -4 for i in range(n)]
+    labels = mincut.least_cost_labels(lean, [(i - 1, i, 4) for i in range(1, n)])
+    assert all(labels)
+
+
+def blocks(html):
+    return [(b.text, b.cue) for b in page_blocks(html)]
+
+
+def test_blocks_of_broken_pages():
+    assert blocks(None) == blocks("") == blocks("<html><body></body>") == blocks("<!-- only") == []
+    assert blocks("plain  text\n here") == [("plain text here", "unknown")]
+    assert blocks("a < b &amp;amp; c&nbsp;d &#233;&hellip; 1 <2") == [("a < b &amp; c d é… 1 <2", "unknown")]
+    assert blocks("<p>one<b>two</b> three<br>four<p>five</div>six<p cla") == [
+        ("onetwo three four", "unknown"), ("five", "unknown"), ("six", "unknown")
+    ]
+    assert blocks("<script>var a='</p><p>x';</script ><style>p{}</style>seen<script>never closed <p>x") == [("seen", "unknown")]
+    assert blocks('<p title="a > b" class=\'x\'>text</P>') == [("text", "unknown")]
+    assert blocks("<ul><li>a<li>b</ul>") == [("a", "unknown"), ("b", "unknown")]
+    assert blocks("x" * 300_000) == [("x" * 300_000, "unknown")]
+    deep = "<div>" * 5_000 + "deep" + "</div>" * 5_000
+    assert blocks(deep) == [("deep", "unknown")]
+
+
+def test_cues():
+    cue = lambda html: {text: c for text, c in blocks(html)}
+    assert cue("<nav>a<p>b</nav><article>c<aside>d</aside><footer>e</footer>f</article><footer>g") == dict(
+        a="boilerplate", b="boilerplate", c="content", d="boilerplate", e="boilerplate", f="content", g="boilerplate"
+    )
+    assert cue('<article><header><h1>t</h1><p>by</header><p>x<article class="comment"><p>y</article><article>z') == dict(
+        t="content", by="boilerplate", x="content", y="boilerplate", z="boilerplate"
+    )
+    assert cue('<body class="has-sidebar"><div class="with-sidebar content"><p>a</p><div class="sideBar">b') == dict(
+        a="maybe", b="boilerplate"
+    )
+    assert cue('<form id=f><article><p>a</article><p>b</form><div style="display: none">c</div><p hidden>d') == dict(
+        a="content", b="boilerplate", c="boilerplate", d="boilerplate"
+    )
+    assert cue('<div itemprop="articleBody"><p>a<div id="ad-1">b</div></div><header>c</header>') == dict(
+        a="content", b="boilerplate", c="boilerplate"
+    )
+
+
+PROSE = "The river rose over night, and by noon the lower road could not be used any more."
+SOUP = (
+    "<html><body><div><div><a href=1>Home</a></div><div><a href=2>News</a></div><div><a href=3>Contact us</a></div></div>"
+    f"<div><h1>High water</h1><p>{PROSE}</p><p>Nobody was hurt.</p><p>{PROSE} Twice.</p></div>"
+    "<div class='comments'><p>{0}</p></div><div><a href=4>Terms</a> <a href=5>Privacy</a></div></body></html>"
+).replace("{0}", PROSE.replace("river", "comment"))
+
+
+def test_pages_without_an_article_element(spark):
+    want = "\n\n".join(["High water", PROSE, "Nobody was hurt.", f"{PROSE} Twice."])
+    assert html_text.main_text(SOUP) == want
+    told = f"<nav><ul><li><a>Start</a><li><a>More</a></ul></nav><article><h2>T</h2><p>{PROSE}<p>{PROSE}</article><footer>f</footer>"
+    model = html_text.fit_shapes(spark.createDataFrame([(told,), (None,)], "html string"))
+    assert model.blocks == {"content": 3, "boilerplate": 3}
+    assert html_text.main_text(SOUP, model) == want
+    with pytest.raises(ValueError):
+        html_text.CutRule(told=5)
+
+
+def test_extraction_of_odd_tables(spark):
+    schema = "page_id bigint, url string, html string, text string, `a.b` string"
+    rows = [(1, "u", None, "x", "y"), (1, None, "", "x", "y"), (None, "u", SOUP, None, None), (2, "u", "<nav>n</nav>", "x", "y")]
+    pages = spark.createDataFrame(rows, schema)
+    model = html_text.fit_shapes(pages)
+    got = html_text.extract_main_text(pages, model)
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+    found = [(r["page_id"], r["text"] != "", r["n_chars"] == len(r["text"])) for r in got.collect()]
+    assert found == [(1, False, True), (1, False, True), (None, True, True), (2, False, True)]
+    none = pages.limit(0)
+    assert html_text.extract_main_text(none, html_text.fit_shapes(none)).count() == 0
+
+
+def test_few_pages_of_many_are_learned_from(spark):
+    page = "<article><p>One sentence here.</article><footer>f</footer>"
+    pages = spark.range(4_000).select(F.col("id").alias("page_id"), F.lit(page).alias("html"))
+    model = html_text.fit_shapes(pages, rule=html_text.CutRule(learn_pages=1_000))
+    assert 800 < model.blocks["content"] < 1_200
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="test tables are not here")
+def test_extraction_equals_brute_force(spark):
+    """The pages of the tables have one article each, of a heading and paragraphs."""
+    pages = duckdb.sql(f"SELECT page_id, html FROM '{DATA}/pages.parquet'").fetchall()
+    got = {r["page_id"]: r for r in queries.op11_min_cut(spark, str(DATA)).collect()}
+    assert len(got) == len(pages) > 0
+    for page_id, html in pages:
+        inside = re.search(r"<article>(.*?)</article>", html, re.S)[1]
+        parts = [re.sub(r"<br>", " ", p) for p in re.split(r"</?(?:p|h1)>", inside)]
+        texts = [" ".join(unescape(re.sub(r"<[^>]*>", "", p)).split()) for p in parts]
+        want = "\n\n".join(t for t in texts if t)
+        assert got[page_id]["text"] == want and got[page_id]["n_chars"] == len(want)
+
+
+# 12. Ranked lexical search.
+
+
+def brute_terms(text):
+    lowered = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lowered)
+
+
+def brute_search(docs, items, most):
+    counted = [(i, brute_terms(t)) for i, t in docs]
+    sizes = [len(found) for _, found in counted if found]
+    n_docs, n_terms = len(sizes), sum(sizes)
+    out = []
+    for item, text in items:
+        scores = [0] * len(docs)
+        for term in set(brute_terms(text)):
+            df = sum(term in found for _, found in counted)
+            w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df + 1)))
+            for k, (_, found) in enumerate(counted):
+                tf = found.count(term)
+                if tf:
+                    m = 10 + 90 * len(found) * n_docs // n_terms
+                    scores[k] += w * (1_000_000_000 * tf // (1000 * tf + 8 * m))
+        best = sorted((-s, i is None, i) for (i, _), s in zip(docs, scores) if s > 0)[:most]
+        out += [(item, rank, i, -s) for rank, (s, _, i) in enumerate(best, 1)]
+    return out
+
+
+def searched(found):
+    return sorted((r["item"], r["rank"], r["id"], r["score"]) for r in found.collect())
+
+
+@pytest.mark.parametrize("rule", [
+    lexical.SearchRule(),
+    lexical.SearchRule(most=3, item_bytes=40, postings=50, narrow=1),
+    lexical.SearchRule(most=1, postings=1, narrow=4),
+    lexical.SearchRule(most=40, postings=700, narrow=2),
+])
+def test_search_equals_brute_force(spark, rule):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(40)] + ["Éa", "É", "ñu_x", "x-y", "İ"]
+    weights = [1 / (i + 1) for i in range(len(words))]
+    text = lambda n: " ".join(rng.choices(words, weights, k=n))
+    docs = [(i, text(rng.choice([0, 1, 5, 30, 200]))) for i in range(150)]
+    docs += [(200 + i, docs[7][1]) for i in range(40)] + [(300, None), (301, " \n"), (-5, "A" * 50_000), (302, "W1 w1 W2")]
+    items = [(i, text(12)) for i in range(8)] + [(50, None), (51, ""), (52, "unknown words"), (53, docs[7][1]), (54, "É İ w1")]
+    docs_df = clash(spark.createDataFrame(docs, "doc_id bigint, text string"), "id", "n", "terms", "a.b").repartition(3)
+    items_df = clash(spark.createDataFrame(items, "item_id bigint, text string"), "item", "no", "block")
+    got = searched(lexical.search(docs_df, items_df, rule=rule))
+    assert got == sorted(brute_search(docs, items, rule.most))
+
+
+def test_search_of_repeated_ids_and_nothing(spark):
+    docs = spark.createDataFrame([(None, "one two"), (4, "one two"), (4, "one two"), (9, "three")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, "one"), (1, "one")], "item_id bigint, text string")
+    got = lexical.search(docs, items).collect()
+    assert sorted((r["rank"], r["id"]) for r in got if r["id"] is not None) == [(1, 4)] * 2 + [(2, 4)] * 2
+    assert [r["rank"] for r in got if r["id"] is None] == [3, 3]
+    assert lexical.search(docs.limit(0), items).count() == 0
+    none = lexical.search(docs, items.limit(0))
+    assert none.count() == 0 and none.columns == ["item", "rank", "id", "score"]
+
+
+# 13. Merkle manifest.
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def brute_climb(digests, fanout):
+    """The root, and for each leaf its siblings level by level as (before, after)."""
+    paths, at, level = [[] for _ in digests], list(range(len(digests))), digests
+    while len(level) > 1:
+        runs = [level[i : i + fanout] for i in range(0, len(level), fanout)]
+        for k, place in enumerate(at):
+            run, slot = runs[place // fanout], place % fanout
+            paths[k].append(("".join(run[:slot]), "".join(run[slot + 1 :])))
+        at = [place // fanout for place in at]
+        level = [sha("".join(run)) for run in runs]
+    return level[0], paths
+
+
+def brute_manifest(rows, fanout):
+    value = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    leaves = [sha("".join(map(value, (r[0], r[3], r[2], r[4], r[1])))) for r in rows]
+    groups = {}
+    for r, leaf in zip(rows, leaves):
+        groups.setdefault(r[2], []).append((r[0] is not None, r[0] or 0, leaf))
+    order = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {g: brute_climb([leaf for _, _, leaf in sorted(groups[g])], fanout) for g in order}
+    root, above = brute_climb([trees[g][0] for g in order], fanout)
+    out = []
+    for g, top in zip(order, above):
+        subroot, paths = trees[g]
+        out += [(leaf, subroot, root, path + top) for (_, _, leaf), path in zip(sorted(groups[g]), paths)]
+    return sorted(out)
+
+
+def proofs_of(df):
+    text = lambda b: bytes(b).hex()
+    return sorted(
+        (text(r["leaf"]), text(r["subroot"]), text(r["root"]), [(text(p["before"]), text(p["after"])) for p in r["path"]])
+        for r in df.collect()
+    )
+
+
+@pytest.mark.parametrize("fanout", [2, 3, 8])
+def test_manifest_equals_brute_force(spark, fanout):
+    sizes = {"en": 75, "de": 9, "fr": 8, "é": 1, "": 2, None: 17, "Z": 64, "a": 1, "b": 3, "c": 1}
+    rows, i = [], 0
+    for lang, n in sizes.items():
+        for _ in range(n):
+            rows.append((i * 7919 % 1009, f"text {i} é\n" if i % 5 else None, lang, "s" if i % 3 else None, i))
+            i += 1
+    rows += [rows[0], rows[0], (rows[0][0], "other", "en", "s", 1), (None, "", "en", "", None), (None, None, "en", None, None)]
+    df = clash(spark.createDataFrame(rows, DOCS), "id", "tree", "place", "size", "digest", "one", "a.b").repartition(4)
+    got = merkle.merkle_proofs(df, fanout=fanout)
+    assert proofs_of(got) == brute_manifest(rows, fanout)
+    assert got.where(merkle.fold(F.col("leaf"), F.col("path")) != F.col("root")).count() == 0
+    wrong = merkle.fold(F.unhex(F.lit("00" * 32)), F.col("path")) == F.col("root")
+    assert got.where(wrong).count() == 0
+
+
+def test_manifest_of_one_row_and_of_none(spark):
+    one = [(1, "x", "en", "s", 1)]
+    got = merkle.merkle_proofs(spark.createDataFrame(one, DOCS))
+    assert proofs_of(got) == brute_manifest(one, 8) and got.first()["path"] == []
+    two = [(1, "x", "en", "s", 1), (1, "x", "de", "s", 1)]
+    assert proofs_of(merkle.merkle_proofs(spark.createDataFrame(two, DOCS))) == brute_manifest(two, 8)
+    assert merkle.merkle_proofs(spark.createDataFrame([], DOCS)).count() == 0
+    with pytest.raises(ValueError):
+        merkle.merkle_proofs(spark.createDataFrame(one, DOCS), fanout=1)
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="test tables are not here")
+def test_tampered_rows_are_found(spark):
+    got = queries.op13_slot_pivot(spark, str(DATA)).collect()
+    texts = dict(duckdb.sql(f"SELECT doc_id, text FROM '{DATA}/documents.parquet'").fetchall())
+    for r in got:
+        changed = zlib.crc32(str(r["doc_id"]).encode()) % 3 == 0 and re.search("[A-Z]", texts[r["doc_id"]] or "")
+        assert r["verified"] == (not changed) == (r["folded_root"] == r["root"])
+    assert 0 < sum(not r["verified"] for r in got) < len(got)
