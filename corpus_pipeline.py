@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelab.llm import bpe, chunk_dedup, language, mixing, shingle_dedup
+from ratelab.llm import bpe, chunk_dedup, language, mixing, simhash
 from ratelab.llm.queries import HELD_OUT, fold
 from ratelab.shared import scratch_table_path
 
@@ -18,7 +18,7 @@ LEAST_KNOWN = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter and those whose words no learned language has."""
+    """Drops texts that are in no learned language: ``und``, or mostly of words that none of them has."""
     model = language.fit_language_model(docs.where(fold(F.col("doc_id")) != HELD_OUT))
     return language.keep_known_languages(docs, model, LEAST_KNOWN)
 
@@ -29,8 +29,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group whose 5-word shingles are linked at similarity 0.8 or more."""
-    return shingle_dedup.keep_dissimilar(docs)
+    """Keeps one document of each group linked by fingerprints of 3-word shingles at 2 or fewer differing bits."""
+    return simhash.keep_representatives(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +56,7 @@ STAGES = [
     ("tokenize", tokenize),
 ]
 
-#: SQL can't state the model of the first stage, the shingles of the third, nor the tokenizer.
+#: SQL can't state the model of the first stage, the fingerprints of the third, nor the tokenizer.
 ORACLE_SQL = None
 
 
