@@ -116,6 +116,8 @@ def keep_first_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     It has the id that ``exact_dedup`` keeps; of rows that repeat this id and
     text, or of a group without any id, any one row is kept. Each text is
     decided by itself, so an id with two texts may keep one and lose the other.
+    Null and empty texts are one group. An empty table gives an empty table;
+    columns keep their names, whatever they are.
     """
     report = _decided(docs, id_col, text_col, **options, **{KEY: row_key(id_col, text_col)})
     keys = report.where("kept").groupBy(KEY).agg(F.count("*").alias("_row_count"))

@@ -17,6 +17,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ratelab.llm.rows import quoted
 from ratelab.llm.tasks import map_batches, ship_package
 
 UNKNOWN = "und"
@@ -173,14 +174,24 @@ class Scorer:
 
         Neither the number of languages nor how alike they are plays a part.
         """
-        counts, known = word_counts(text), 0
+        return self._known(word_counts(text))
+
+    def _known(self, counts: Counter[str]) -> float:
+        known = 0
         for word, n in counts.items():
             if word in self.model.words or self._longest(word)[1] >= KNOWN_GRAM:
                 known += n
         return known / sum(counts.values()) if counts else 0.0
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def accepts(self, text: str | None, least_known: float) -> bool:
+        """Whether the prediction is a language and the model knows that share of the words."""
         counts = word_counts(text)
+        return self._predict(counts)[0] != UNKNOWN and self._known(counts) >= least_known
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        return self._predict(word_counts(text))
+
+    def _predict(self, counts: Counter[str]) -> tuple[str, float]:
         if not counts or not self.model.languages:
             return UNKNOWN, 0.0
         rows, times, total = [], [], np.zeros(len(self.model.languages))
@@ -242,9 +253,12 @@ def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
 def keep_known_languages(
     docs: DataFrame, model: LanguageModel, least_known: float, text_col: str = "text"
 ) -> DataFrame:
-    """The documents with a letter of whose words the model knows at least that share (``Scorer.known_share``).
+    """The documents predicted to be in a language of whose words the model knows at least that share.
 
-    Rows keep all their columns; whole rows pass through once, nothing is shuffled.
+    Texts that are null or without a letter are ``und`` and go; so do all texts
+    if nothing was learned. Rows are judged each, repeated ids or not, and keep
+    all their columns, whatever their names; whole rows pass through once,
+    nothing is shuffled. An empty table gives an empty table.
     """
     ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -253,6 +267,6 @@ def keep_known_languages(
     def known(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(shared.value)
         for batch in texts:
-            yield pd.Series([0 < (share := scorer.known_share(t)) >= least_known for t in batch], dtype=bool)
+            yield pd.Series([scorer.accepts(t, least_known) for t in batch], dtype=bool)
 
-    return docs.where(known(text_col))
+    return docs.where(known(quoted(text_col)))

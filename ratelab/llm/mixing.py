@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ratelab.llm.ordered import ordered_totals
+from ratelab.llm.rows import KEY, columns_of, quoted, row_key, unused
 from ratelab.llm.skew import join_unique
 from ratelab.shared import cut_lineage
 
@@ -157,14 +158,14 @@ def schedule(targets: DataFrame, block: int) -> DataFrame:
 def shuffled_streams(docs: DataFrame, rule: MixRule) -> DataFrame:
     """Adds ``at``, the words before a document in its source's shuffled stream.
 
-    ``docs`` has ``source, id, size``. The shuffle goes by a hash of the id and
-    the seed; ties go by id and size.
+    ``docs`` has ``source, id, size, tie``. The shuffle goes by a hash of the id
+    and the seed; ties go by id, size and ``tie``, a hash of the text.
     """
     shuffled = docs.withColumn(
         "draw", F.md5(F.concat_ws("|", F.col("id").cast("string"), F.lit(str(rule.seed))))
     )
-    ordered = [F.col("source").asc_nulls_last(), "draw", F.col("id").asc_nulls_last(), "size"]
-    return ordered_totals(shuffled, ordered, {"before": "size"}).drop("draw")
+    ordered = [F.col("source").asc_nulls_last(), "draw", F.col("id").asc_nulls_last(), "size", "tie"]
+    return ordered_totals(shuffled, ordered, {"before": "size"}).drop("draw", "tie")
 
 
 @dataclass(frozen=True)
@@ -183,9 +184,12 @@ def mix_sources(
     text_col: str = "text",
     source_col: str = "source",
     rule: MixRule = MixRule(),
+    **more: Column,
 ) -> Mix:
     """The mix of all documents. Runs jobs; equal input gives equal output.
 
+    Columns ``more`` of the documents are passed on to both tables.
+
     A null text has size 0; documents of size 0 are never taken. A null source
     is a source of its own, the last. Rows that repeat an id are documents of
     their own, with places of their own in the stream. An empty table gives an
@@ -195,7 +199,11 @@ def mix_sources(
     """
     sizes = cut_lineage(
         docs.select(
-            F.col(source_col).alias("source"), F.col(id_col).alias("id"), word_count(F.col(text_col)).alias("size")
+            quoted(source_col).alias("source"),
+            quoted(id_col).alias("id"),
+            word_count(quoted(text_col)).alias("size"),
+            F.xxhash64(quoted(text_col)).alias("tie"),
+            *(column.alias(name) for name, column in more.items()),
         )
     )
     targets = source_targets(sizes, rule)
@@ -218,7 +226,7 @@ def mix_sources(
     placed = cut_lineage(
         placed.select(
             "no", "source", "id", "size", "source_size", "target",
-            F.col("words").alias("wanted"), (F.col("before") - F.col("base")).alias("at"),
+            F.col("words").alias("wanted"), (F.col("before") - F.col("base")).alias("at"), *more,
         )
     )
     slots = schedule(
@@ -252,7 +260,7 @@ def mix_sources(
                 F.floor((F.col("at") + F.col("size") - 1) / block).cast("bigint"),
             )
         ),
-    ).select(F.col("no").alias("source"), "cell", F.col("source").alias("name"), "id", "size", "at")
+    ).select(F.col("no").alias("source"), "cell", F.col("source").alias("name"), "id", "size", "at", *more)
     low = F.greatest("low", "at", F.col("cell") * block)
     high = F.least("high", F.col("at") + F.col("size"), (F.col("cell") + 1) * block)
     parts = (
@@ -260,7 +268,7 @@ def mix_sources(
         .withColumn("start", low - F.col("at"))
         .withColumn("words", high - low)
         .where("words > 0")
-        .select("slot", F.col("source").alias("no"), F.col("name").alias("source"), "id", "size", "at", "epoch", "start", "words")
+        .select("slot", F.col("source").alias("no"), F.col("name").alias("source"), "id", "size", "at", "epoch", "start", "words", *more)
     )
     return Mix(placed, parts)
 
@@ -275,15 +283,35 @@ def words_taken(mix: Mix) -> DataFrame:
     )
 
 
-def repeat_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents that the mix takes words of, each as often as it begins to take them; all columns as they were.
+def repeat_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
+) -> DataFrame:
+    """The mix as whole documents, in the order of its slots; all columns as they were.
 
-    A source's stream ends within one document at most, which comes whole.
-    Rows that repeat an id all come as often as the one taken most.
+    A document comes once for every lap in which the mix begins to take its
+    words, where the schedule does so; a source's stream ends within one
+    document at most, which comes whole. Rows are taken each by its own place in
+    the stream, so those without an id or that repeat one don't share a number;
+    of rows alike in all columns any one stands for all. Texts without a word
+    and null texts never come; an empty table gives an empty table. The rows are
+    range-partitioned by slot: files written from them are in mix order.
     """
-    taken = words_taken(mix_sources(docs, id_col, text_col, **options)).where("taken > 0")
-    copies = taken.groupBy("id").agg(F.max(F.ceil(F.col("taken") / F.col("size"))).alias("n"))
-    copies = copies.select(F.col("id").alias("_mix_id"), F.col("n").cast("int").alias("_mix_copies"))
-    joined = docs.join(copies, docs[id_col].eqNullSafe(copies["_mix_id"]))
-    again = joined.withColumn("_mix_again", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
-    return again.select(*docs.columns)
+    others = [
+        quoted(f.name) for f in docs.schema
+        if f.name not in (id_col, text_col) and f.dataType.typeName() not in ("map", "variant")
+    ]
+    key = unused(docs, KEY)
+    named = F.unhex(F.sha2(F.concat(row_key(id_col, text_col), F.xxhash64(F.lit(0), *others).cast("string").cast("binary")), 256))
+    rows = docs.withColumn(key, named)
+    mix = mix_sources(rows, id_col, text_col, source_col, row=F.col(key), **options)
+    alike = mix.documents.where("size > 0").groupBy("row").agg(F.count("*").alias("copies"))
+    laps = mix.parts.groupBy("no", "at", "epoch", "row").agg(F.min("slot").alias("slot"))
+    slot, at = unused(docs, "_mix_slot"), unused(docs, "_mix_at")
+    times = laps.join(alike, "row").select(F.col("row").alias(key), F.col("slot").alias(slot), F.col("at").alias(at), "copies")
+    times = cut_lineage(times)
+    repeated = times.where("copies > 1").select(key).distinct()
+    first = rows.join(repeated, key, "left_semi").dropDuplicates([key])
+    taken = rows.join(times.where("copies = 1").drop("copies"), key).unionByName(
+        first.join(times.where("copies > 1").drop("copies"), key)
+    )
+    return taken.repartitionByRange(slot, at).sortWithinPartitions(slot, at).select(columns_of(docs))

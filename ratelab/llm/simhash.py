@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelab.llm.components import connected_components
-from ratelab.llm.rows import KEY, row_key
+from ratelab.llm.rows import KEY, columns_of, row_key, with_key
 from ratelab.llm.skew import join_unique
 from ratelab.llm.tasks import map_batches
 from ratelab.shared import cut_lineage
@@ -177,8 +177,10 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     It has the smallest id of its group; of several texts with this id, or
     without any, one is kept. Rows that repeat its id and text stay with it.
+    Texts that are null, empty or blank are one group. An empty table gives an
+    empty table; columns keep their names, whatever they are.
     """
     report = _decided(docs, id_col, text_col, **options, **{KEY: row_key(id_col, text_col)})
     first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", KEY))
     keys = report.groupBy("component").agg(first.alias("first")).select(f"first.{KEY}")
-    return docs.withColumn(KEY, row_key(id_col, text_col)).join(keys, KEY).select(docs.columns)
+    return with_key(docs, keys, id_col, text_col)[0].select(columns_of(docs))

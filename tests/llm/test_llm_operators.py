@@ -24,7 +24,6 @@ from ratelab.llm import (
     language,
     mixing,
     ordered,
-    shingle_dedup,
     simhash,
     token_files,
     warc,
@@ -133,6 +132,16 @@ def test_keep_first_copies(docs):
     assert sorted(r["doc_id"] for r in left.where("doc_id IS NOT NULL").collect()) == [1, 2, 3, 4, 6, 7, 9, 10, 11]
 
 
+def test_kept_rows_keep_columns_of_any_name(docs, none):
+    names = ("_row_key", "_row_count", "_row_key_", "keep_id", "a.b", "a`b")
+    df = clash(docs, *names)
+    for keep in (chunk_dedup.keep_first_copies, simhash.keep_representatives):
+        got = keep(df)
+        assert got.columns == df.columns
+        assert {r[n] for r in got.collect() for n in names} == {"extra"}
+        assert keep(clash(none, *names)).count() == 0
+
+
 def test_dedup_decides_rows_not_ids(spark):
     copies = [(None, "same text here", "en", "s", 0), (1, "same text here", "en", "s", 0)]
     alone = [(None, "only once without id", "en", "s", 0), (2, "first text of two", "en", "s", 0)]
@@ -347,6 +356,32 @@ def test_repeat_documents(spark):
     assert counts == {**dict.fromkeys(range(5), 3), 9: 1}
 
 
+def test_documents_come_in_slot_order_and_by_row(spark):
+    rule = mixing.MixRule(block_words=20, fewest_slots=1)
+    rows = [(i, f"w{i} " * 10, "en", "b", 0) for i in range(60)] + [(100 + i, f"x{i} " * 10, "en", "a", 0) for i in range(60)]
+    got = [r["source"] for r in mixing.repeat_documents(spark.createDataFrame(rows, DOCS), rule=rule).collect()]
+    # Weights 1 and 2: any stretch of the mix holds them in about that ratio.
+    for i in range(30, len(got), 30):
+        assert abs(got[i - 30 : i].count("b") - 20) <= 5
+
+
+def test_copies_go_by_row(spark):
+    rows = [(None, f"w{i} " * 10, "en", "a", 0) for i in range(40)] + [(7, f"x{i} " * 10, "en", "a", 0) for i in range(40)]
+    rows += [(8, "one row " * 5, "en", "a", 0)] * 20 + [(200 + i, f"y{i} " * 10, "en", "b", 0) for i in range(50)]
+    names = ("_row_key", "_mix_id", "_mix_copies", "_mix_again", "_mix_slot", "row", "copies", "a.b")
+    df = clash(spark.createDataFrame(rows, DOCS), *names).repartition(3)
+    got = mixing.repeat_documents(df)
+    assert got.columns == df.columns
+    kept = got.collect()
+    assert all(r[n] == "extra" for r in kept for n in names)
+    # 1,000 words of a and 500 of b; b takes 2/3 of 1,500.
+    words = {s: sum(len(r["text"].split()) for r in kept if r["source"] == s) for s in "ab"}
+    assert words == {"a": 500, "b": 1000}
+    again = sorted(map(tuple, mixing.repeat_documents(df.repartition(5)).collect()), key=repr)
+    assert sorted(map(tuple, kept), key=repr) == again
+    assert mixing.repeat_documents(df.limit(0)).count() == 0
+
+
 # 5. WARC.
 
 
@@ -639,43 +674,3 @@ def test_simhash_dedup(docs, none):
     left = simhash.keep_representatives(clash(docs, "dropped_id", "fp"))
     assert left.columns == [*docs.columns, "dropped_id", "fp"]
     assert sorted(r["doc_id"] for r in left.where("doc_id IS NOT NULL").collect()) == [0, 3, 4, 5, 5, 7, 8, 11]
-
-
-# Near-dedup by shingles, of the pipeline.
-
-
-def test_keep_dissimilar(spark, docs, none):
-    rng = random.Random(8)
-    rows = [(None, "b a  c", "en", "s", 0), (None, "B a c", "en", "s", 0), (900, " ", "en", "s", 0), (901, None, "en", "s", 0)]
-    for group in range(12):
-        base = [f"w{rng.randrange(500)}" for _ in range(rng.choice([6, 40, 200]))]
-        for _ in range(12):
-            words = list(base)
-            for _ in range(rng.randrange(1 + len(words) // 20)):
-                words[rng.randrange(len(words))] = f"new{rng.randrange(500)}"
-            rows.append((len(rows), " ".join(words), "en", "s", 0))
-    rows += [(5, rows[5][1], "en", "s", 0), (5, "one id and another text of its own", "en", "s", 0)]
-    sets = [set(shingle_dedup.shingle_set(t).tolist()) for _, t, *_ in rows]
-    parent = list(range(len(rows)))
-
-    def root(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    far = 0
-    for i, x in enumerate(sets):
-        for j in range(i):
-            if x == sets[j] or len(x & sets[j]) >= 0.8 * len(x | sets[j]):
-                parent[root(i)] = root(j)
-                bits = simhash.fingerprint(rows[i][1]) ^ simhash.fingerprint(rows[j][1])
-                far += bits.bit_count() > 2
-    assert far > 20
-    groups = {}
-    for i, row in enumerate(rows):
-        groups.setdefault(root(i), []).append(row)
-    got = shingle_dedup.keep_dissimilar(clash(spark.createDataFrame(rows, DOCS).repartition(3), "size", "sha", "node"))
-    want = [min((r[0] is None, r[0] or 0) for r in group) for group in groups.values()]
-    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got.collect()) == sorted(want)
-    assert got.columns == [*docs.columns, "size", "sha", "node"]
-    assert shingle_dedup.keep_dissimilar(none).count() == 0

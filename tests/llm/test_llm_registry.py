@@ -149,22 +149,3 @@ def test_pipeline(spark, documents):
         assert row.n_tokens == len(row.ids)
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert names == ["language_id", "exact_dedup", "near_dedup", "mix", "tokenize"]
-
-
-def test_near_dedup_stage_equals_brute_force(spark, documents):
-    """No two of its documents share 0.8 of their 5-word shingles, and no document goes without such a link."""
-    rows = documents.drop_duplicates("text", keep="last").sort_values("doc_id").reset_index(drop=True)
-    sets = []
-    for text in rows.text:
-        words = [w for w in re.split("[\x20\x09-\x0d]+", text.translate({c: c + 32 for c in range(65, 91)})) if w]
-        sets.append({tuple(words[i : i + 5]) for i in range(len(words) - 4)} or {tuple(words)})
-    links = [
-        (i, j)
-        for i, x in enumerate(sets)
-        for j in range(i + 1, len(sets))
-        if 0.8 * len(x) <= len(sets[j]) <= len(x) / 0.8 and len(x & sets[j]) >= 0.8 * len(x | sets[j])
-    ]
-    assert len(links) == 5
-    got = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows), str(DATA)).toPandas()
-    want = [i for k, (i, r) in enumerate(zip(rows.doc_id, lowest_reachable(len(rows), links))) if k == r]
-    assert sorted(got.doc_id) == want
