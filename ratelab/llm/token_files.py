@@ -139,7 +139,7 @@ class Encoder:
         stems = {p: p[:-1] for p in pieces if p not in known and p[-1] in self.marks and p[:-1].isalpha()}
         wanted = (pieces - stems.keys()).union(stems.values())
         found = {p: known[p] for p in wanted if p in known}
-        fresh = sorted(wanted - found.keys())
+        fresh = list(wanted - found.keys())
         if fresh:
             # Between line feeds every piece is cut into the same words as in its text.
             text = blank + f"\n{blank}".join(fresh)
@@ -179,17 +179,21 @@ def load(path: str) -> Encoder:
 def train_dictionary(docs: DataFrame, path: str, id_col: str, text_col: str, rule: TokenFileRule) -> bytes:
     """A dictionary from a bounded sample. Where too little is there to train on, the serialized
     sample itself; without any, nothing."""
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(
+        F.xxhash64(F.col(id_col).cast("string")).alias("draw"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("text")
+    )
     texts = texts.where(F.length("text").between(1, rule.sample_chars))
-    order = F.xxhash64(F.col("id").cast("string"))
-    sample = texts.orderBy(order, "id", "text").limit(rule.sample_documents).select("text")
+    # Only two numbers a row are sorted; the few texts they name are fetched where they are.
+    keys = texts.select("draw", "tie").distinct().orderBy("draw", "tie").limit(rule.sample_documents)
+    sample = texts.join(F.broadcast(keys), ["draw", "tie"]).dropDuplicates(["draw", "tie"])
 
     def serialize(batches):
         for batch in batches:
             found = load(path).encode_batch(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["ids"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.binary())], names=["draw", "tie", "ids"])
 
-    samples = [bytes(r["ids"]) for r in map_batches(sample, serialize, "ids binary").collect()]
+    rows = map_batches(sample, serialize, "draw bigint, tie bigint, ids binary").collect()
+    samples = [bytes(r["ids"]) for r in sorted(rows, key=lambda r: (r["draw"], r["tie"]))]
     size = min(rule.dictionary_bytes, sum(map(len, samples)) // 8)
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()
@@ -219,7 +223,10 @@ def write_tokens(
     Files follow ascending ids, nulls first: ``part`` numbers them, ``before``
     counts the ids before a document in its file. Rows that repeat an id follow
     one another, in an order by a hash of their texts. A null text counts as
-    empty and has only the end id. Texts are moved once, to be sorted.
+    empty and has only the end id. Texts are moved once, to be sorted. An empty
+    table gives no file but the dictionary, and an empty index. Other columns,
+    whatever their names, are not looked at. A very long text is encoded in
+    parts where it can be cut, and is one frame.
     """
     data = train_dictionary(docs, path, id_col, text_col, rule)
     system, base = fs.FileSystem.from_uri(folder)
@@ -281,7 +288,8 @@ def read_tokens(index: DataFrame, folder: str, rule: TokenFileRule = TokenFileRu
     """The index rows with ``ids``, a document's ids as little-endian unsigned 32-bit integers.
 
     Rows are spread by file and stretch of a file and read in coalesced ranges.
-    A file under another dictionary than the folder's is refused.
+    A file under another dictionary than the folder's is refused. An empty
+    index gives no rows; columns of the index beyond its own are passed on.
     """
 
     def run(batches):
