@@ -36,12 +36,18 @@ _TABLE = bytes(c if c in _SAME else c + 32 if 65 <= c <= 90 else 32 for c in ran
 class SearchRule:
     """``most`` documents an item. The other numbers bound memory and change no result:
     bytes of items that a pass over the documents answers (one item at least), postings
-    of a block (one document at least), and documents of an interval that is scored whole."""
+    of a block (one document at least) and of a task, and documents of an interval that is
+    scored whole."""
 
     most: int = 10
     item_bytes: int = 1 << 22
     postings: int = 1 << 21
     narrow: int = 64
+    task_postings: int = 1 << 22
+
+    def tasks(self, postings: int) -> int:
+        """So many that one meets ``task_postings``; above 2,000 tasks, up to 2^28."""
+        return max(1, min(-(-postings // self.task_postings), max(2_000, postings >> 28)))
 
 
 def terms(text: str | None) -> list[bytes]:
@@ -265,7 +271,9 @@ def search(
             holding[row["term"]] = row["count"]
         known = Collection(whole[0], whole[1] or 0, weigh(whole[0], holding))
         numbers = [np.array([vocabulary[t] for t in found], dtype=np.int64) for _, found in texts]
-        found = _search_tasks(counted.where(F.size("terms") > 0), numbers, known, rule)
+        # The counted table is far smaller than the texts: tasks go by its postings, not by its bytes.
+        spread = counted.where(F.size("terms") > 0).repartition(rule.tasks(int(holding.sum())))
+        found = _search_tasks(spread, numbers, known, rule)
         first = rows[0]["no"]
         found.withColumn("no", F.col("item") + first).select("no", "id", "score").write.mode("append").parquet(path)
     if not blocks:
