@@ -43,8 +43,6 @@ def uniform_draw(key: Column, seed: int) -> Column:
 
 def poisson_steps(mean: float) -> list[float]:
     """Cumulative probabilities: a draw u makes as many copies as there are steps at or below u."""
-    if mean > 500:
-        raise ValueError("a mean of more than 500 copies per row")
     steps, total, term, k = [], 0.0, math.exp(-mean), 0
     while k < mean or term > 1e-17:
         total += term
@@ -54,6 +52,29 @@ def poisson_steps(mean: float) -> list[float]:
     return steps
 
 
+#: A larger mean is the sum of independent draws of at most this mean each.
+MOST_MEAN = 64.0
+
+
+def poisson_copies(key: Column, mean: float, seed: int) -> Column:
+    """How many copies a row makes: a Poisson draw of any mean from its key, by one md5 for every 64 of it."""
+    whole, rest = divmod(mean, MOST_MEAN)
+
+    def copies(at: float, draw: Column) -> Column:
+        # The draw is bound once: a column compared with every step would be computed as often.
+        steps = F.array(*map(F.lit, poisson_steps(at)))
+        return F.aggregate(F.array(draw), F.lit(0), lambda n, u: n + F.size(F.filter(steps, lambda step: step <= u)))
+
+    first = copies(rest, uniform_draw(key, seed))
+    if not whole:
+        return first
+    more = F.transform(
+        F.sequence(F.lit(1), F.lit(int(whole))),
+        lambda i: copies(MOST_MEAN, uniform_draw(F.concat_ws("|", key, F.lit("more"), i.cast("string")), seed)),
+    )
+    return first + F.aggregate(more, F.lit(0), lambda n, m: n + m)
+
+
 def _keyed(df: DataFrame, key_cols: Sequence[str] | None) -> DataFrame:
     if key_cols is not None:
         return df.withColumn(_KEY, F.concat_ws("|", *key_cols))
@@ -106,15 +127,18 @@ def bootstrap(
     return _copies(df, fraction, seed, key_cols).drop(_COPY, _KEY)
 
 
+def row_keys(df: DataFrame, key_cols: Sequence[str] | None) -> DataFrame:
+    """Adds ``_row_key``: the named columns, else the content and a number among equal rows."""
+    return _keyed(df, key_cols)
+
+
 def _copies(df, fraction, seed, key_cols):
     """Every row as often as a Poisson draw from its key says, with the copy's number."""
-    draw = uniform_draw(F.col(_KEY), seed)
-    keyed = _keyed(df, key_cols).withColumn("_draw", draw)
-    copies = F.lit(0)
-    for step in poisson_steps(fraction):
-        copies = copies + (F.col("_draw") >= step).cast("int")
-    often = keyed.withColumn("_often", copies).filter("_often > 0").drop("_draw")
-    return often.withColumn(_COPY, F.explode(F.sequence(F.lit(1), "_often"))).drop("_often")
+    keyed = _keyed(df, key_cols)
+    often = poisson_copies(F.col(_KEY), fraction, seed)
+    # A row without copies explodes to nothing; a filter beside it would draw again.
+    numbers = F.transform(F.array_repeat(F.lit(1), often), lambda one, i: one + i)
+    return keyed.withColumn(_COPY, F.explode(numbers))
 
 
 def sampled_split(
