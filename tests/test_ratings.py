@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratelab.functions import cleaning
-from ratelab.operators import evaluate
+from ratelab.operators import evaluate, sampling
 from ratelab.operators.ensemble import average
 from ratelab.operators.sampling import (
     bagged_sample,
@@ -254,3 +254,11 @@ def test_draws_do_not_depend_on_partitions(spark):
         assert sorted(rows(two)) == sorted(rows(seven))
     again = df.unionAll(df)
     assert 6_800 < bootstrap(again, 0.9, 4).count() < 7_600
+
+
+def test_samples_of_any_mean(spark):
+    rows = spark.range(100).withColumnRenamed("id", "k")
+    n = sampling.bootstrap(rows, 1_000.5, 3, ["k"]).count()
+    assert abs(n - 100_050) < 2_000
+    assert sampling.bootstrap(rows, 64.0, 3, ["k"]).count() > 5_000
+    assert sampling.bootstrap(rows, 0.0, 3, ["k"]).count() == 0
