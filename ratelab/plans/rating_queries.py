@@ -340,7 +340,7 @@ def _draw_sql(seed):
     return f"CAST('0x' || substr(md5(row_key || '|{seed}'), 1, {DIGITS}) AS BIGINT) / {float(16**DIGITS)!r}::DOUBLE"
 
 
-def _copies_sql(table, fraction, seed):
+def copies_sql(table, fraction, seed):
     """Rows of a table as often as their draw says."""
     steps = " + ".join(f"CAST(draw >= {s!r}::DOUBLE AS INTEGER)" for s in poisson_steps(fraction))
     return f"""
@@ -353,9 +353,9 @@ ORACLE = {
         WITH {RATED_SQL}
         SELECT row_key, isbn, rating, CASE WHEN {_draw_sql(1)} < 0.9::DOUBLE THEN 'TRAIN' ELSE 'TEST' END AS split
         FROM rated""",
-    "bootstrap": f"WITH {RATED_SQL} {_copies_sql('rated', 0.9, 7)}",
+    "bootstrap": f"WITH {RATED_SQL} {copies_sql('rated', 0.9, 7)}",
     "bagged_sample": f"WITH {SPLIT_SQL}, marked AS (SELECT *, 'TRAIN' AS split FROM train) "
-    f"{_copies_sql('marked', 0.66, 9)}",
+    f"{copies_sql('marked', 0.66, 9)}",
     "parse_books": f"""WITH {BOOK_LINES_SQL}
         SELECT isbn, title, author, year_raw, publisher FROM book_lines WHERE reason IS NULL""",
     "parse_ratings": f"""WITH {RATING_LINES_SQL}
