@@ -11,7 +11,8 @@ import __spark_entry__ as entry_module
 DATA = Path("/root/testdata/sf0.01")
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="test tables are not here")
 
-from ratelab.plans import registry
+from ratelab.operators import classifiers
+from ratelab.plans import model_queries, registry
 
 QUERIES, ORACLE = registry.QUERIES, registry.ORACLE
 
@@ -53,3 +54,11 @@ def test_known_values(spark):
     assert row["n"] == 4778
     assert (row["ape_milli"], row["sape_milli"], row["se_milli"]) == (4681756, 1273345, 40747042)
     assert (row["mape"], row["smape"], row["rmse"]) == (97.985684, 26.650167, 2.920283)
+
+
+def test_unpruned_tree_equals_sql(spark, duck):
+    train, test = model_queries._train_test(spark, str(DATA))
+    got = classifiers.fit_tree(train, unpruned=True).predict(test)
+    got = got.selectExpr("row_key", "CAST(rating AS DOUBLE) AS actual", "predicted").toPandas()
+    want = duck.execute(model_queries._gain_tree_sql(unpruned=True)).df()
+    assert len(got) > 0 and canonical(got) == canonical(want)
