@@ -5,16 +5,16 @@ doesn't know falls back to its longest known n-grams: four characters, else
 three, two, one. A text scores the mean over its words, whole and however long.
 """
 
-import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelab.llm.rows import quoted
@@ -28,31 +28,65 @@ KNOWN_GRAM = 3
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 INSIDE = regex.compile(r"[\p{L}\p{M}]{2}")
 PIECE_CHARS = 1 << 20
-CACHE_WORDS = 300_000
+#: Texts are scored together up to so many characters (or one longer text alone),
+#: and so many of their words at a time.
+TOGETHER_CHARS = 1 << 18
+TOGETHER_WORDS = 1 << 16
+#: Seed of ``xxhash64`` in Spark.
+SEED = 42
 
 
 @dataclass(frozen=True)
 class FitRule:
-    """Bounds of the model. About ``docs_per_language`` labelled documents of each
-    language are learned from, chosen by a hash of the id; of each language the
-    ``words`` and, for each length, ``grams`` with its highest counts are kept."""
+    """``docs_per_language`` bounds the sample: about so many labelled documents of each
+    language are learned from, chosen by a hash of id and text. All their words and
+    n-grams are kept."""
 
     docs_per_language: int = 5_000
-    words: int = 100_000
-    grams: int = 20_000
     smoothing: float = 0.5
 
 
+@dataclass(frozen=True)
+class Entries:
+    """Words, or the n-grams of one length: which languages have them, and by how much more than those without.
+
+    An entry goes by the XXH64 of its UTF-8; two that shared one would count as
+    one. ``keys`` ascend; the languages of key i and their gains in log frequency
+    are at ``starts[i]:starts[i + 1]``. A language's log frequency of an entry that
+    it doesn't have is its ``default``. So the size goes by the counts that exist,
+    not by entries times languages.
+    """
+
+    keys: np.ndarray
+    starts: np.ndarray
+    langs: np.ndarray
+    gains: np.ndarray
+    default: np.ndarray
+
+    def find(self, entries: Sequence[str]) -> np.ndarray:
+        """Each entry's place, -1 if it isn't listed."""
+        asked = np.array([xxhash.xxh64_intdigest(e, SEED) for e in entries], dtype=np.uint64)
+        if not len(self.keys):
+            return np.full(len(asked), -1)
+        at = np.minimum(np.searchsorted(self.keys, asked), len(self.keys) - 1)
+        return np.where(self.keys[at] == asked, at, -1)
+
+    def logs(self, entry: str) -> np.ndarray:
+        """The entry's log frequency in every language."""
+        out, at = self.default.copy(), int(self.find([entry])[0])
+        if at >= 0:
+            here = slice(self.starts[at], self.starts[at + 1])
+            out[self.langs[here]] += self.gains[here]
+        return out
+
+
 @dataclass(frozen=True)
 class LanguageModel:
-    """Log frequencies, a row per entry and a column per language; the last row is for what isn't listed."""
+    """Log frequencies of words and, for each length, of n-grams."""
 
     languages: tuple[str, ...]
-    words: dict[str, int]
-    word_logs: np.ndarray
-    grams: dict[str, int]
-    gram_logs: np.ndarray
-
+    words: Entries
+    grams: dict[int, Entries]
 
 
 def fit_language_model(
@@ -65,37 +99,62 @@ def fit_language_model(
     """Learns from rows with a language; others are left out. Runs jobs.
 
     Each language gives every row the same chance, so that it brings about
-    ``docs_per_language`` of them: only that bounded sample is counted, and of
-    the counts only as many entries as the model holds reach the driver.
+    ``docs_per_language`` of them: only that bounded sample is counted. Of the
+    counts the driver gets three numbers each, of no more words and n-grams than
+    the sample has. Rows without an id are drawn by their text, equal rows
+    together. An empty table gives a model without languages.
     """
-    labelled = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    labelled = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
+    labelled = docs.select(
+        quoted(id_col).alias("id"), quoted(lang_col).alias("lang"), quoted(text_col).alias("text")
+    ).where("lang IS NOT NULL AND text IS NOT NULL")
     counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = tuple(sorted(counts))
     if not languages:
-        return LanguageModel((), {}, np.zeros((1, 0)), {}, np.zeros((1, 0)))
-    rates = F.create_map(
-        *(x for lang in languages for x in (F.lit(lang), F.lit(min(1.0, rule.docs_per_language / counts[lang]))))
-    )
-    draw = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("fit")), F.lit(1 << 30)) / float(1 << 30)
-    sample = labelled.where(draw < rates[F.col("lang")])
-    counted = map_batches(sample.select("lang", "text"), _counted, "lang string, entry string, n bigint")
+        nothing = _entries(pa.table({"key": [], "lang": [], "n": []}), 0, rule.smoothing)
+        return LanguageModel((), nothing, dict.fromkeys(GRAMS, nothing))
+    rates = _by_language(languages, (min(1.0, rule.docs_per_language / counts[lang]) for lang in languages))
+    numbers = _by_language(languages, range(len(languages)))
+    draw = F.pmod(F.xxhash64(F.col("id").cast("string"), "text", F.lit("fit")), F.lit(1 << 30)) / float(1 << 30)
+    sample = labelled.where(draw < rates).select(numbers.alias("lang"), "text")
+    counted = map_batches(sample, _counted, "lang int, entry string, n bigint")
     words = counted.groupBy("lang", "entry").agg(F.sum("n").alias("n")).persist()
     padded = F.concat(F.lit(" "), F.col("entry"), F.lit(" "))
     try:
-        word_rows = _most_frequent(words, rule.words, languages)
-        gram_rows = []
+        tables = [_collected(words, len(languages), rule.smoothing)]
         for size in GRAMS:
             starts = F.sequence(F.lit(1), F.length(padded) - (size - 1))
             grams = words.where(F.length(padded) >= size).select(
                 "lang", F.explode(F.transform(starts, lambda i: F.substr(padded, i, F.lit(size)))).alias("entry"), "n"
             )
-            gram_rows.append(_most_frequent(grams.groupBy("lang", "entry").agg(F.sum("n").alias("n")), rule.grams, languages))
+            tables.append(
+                _collected(grams.groupBy("lang", "entry").agg(F.sum("n").alias("n")), len(languages), rule.smoothing)
+            )
     finally:
         words.unpersist()
-    listed, logs = _log_table([word_rows], rule.smoothing)
-    grams_listed, gram_logs = _log_table(gram_rows, rule.smoothing, by_size=True)
-    return LanguageModel(languages, listed, logs, grams_listed, gram_logs)
+    return LanguageModel(languages, tables[0], dict(zip(GRAMS, tables[1:])))
+
+
+def _by_language(languages, values) -> Column:
+    return F.create_map(*(F.lit(x) for pair in zip(languages, values) for x in pair))[F.col("lang")]
+
+
+def _collected(counts: DataFrame, languages: int, smoothing: float) -> Entries:
+    numbers = counts.select(F.xxhash64("entry").alias("key"), "lang", "n")
+    return _entries(numbers.toArrow(), languages, smoothing)
+
+
+def _entries(counts: pa.Table, languages: int, smoothing: float) -> Entries:
+    keys = counts["key"].to_numpy().astype(np.int64).view(np.uint64)
+    langs = counts["lang"].to_numpy().astype(np.int32)
+    n = counts["n"].to_numpy().astype(np.int64)
+    order = np.lexsort((langs, keys))
+    keys, langs, n = keys[order], langs[order], n[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, dtype=np.int64)
+    # One place more than there are entries, for all that isn't listed.
+    whole = np.bincount(langs, weights=n, minlength=languages) + smoothing * (len(first) + 1)
+    return Entries(
+        keys[first], np.r_[first, len(keys)], langs, np.log1p(n / smoothing), np.log(smoothing / whole)
+    )
 
 
 def word_counts(text: str | None) -> Counter[str]:
@@ -112,7 +171,7 @@ def _counted(batches):
             counts = word_counts(text.as_py())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([lang.as_py()] * len(counts), pa.string()),
+                    pa.array([lang.as_py()] * len(counts), pa.int32()),
                     pa.array(list(counts), pa.string()),
                     pa.array(list(counts.values()), pa.int64()),
                 ],
@@ -120,93 +179,118 @@ def _counted(batches):
             )
 
 
-def _most_frequent(counts: DataFrame, most: int, languages) -> tuple[list[str], np.ndarray]:
-    """Each language's ``most`` entries with its highest counts, ties by entry, and their counts in all languages."""
-    order = Window.partitionBy("lang").orderBy(F.desc("n"), "entry")
-    top = counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most)
-    each = (F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).alias(f"n{i}") for i, lang in enumerate(languages))
-    found = counts.join(top.select("entry").distinct(), "entry").groupBy("entry").agg(*each).toArrow()
-    return found["entry"].to_pylist(), np.column_stack([c.to_numpy() for c in found.columns[1:]])
-
-
-def _log_table(rows: list[tuple[list[str], np.ndarray]], smoothing, by_size=False):
-    entries = {e: i for i, e in enumerate(e for listed, _ in rows for e in listed)}
-    counts = np.vstack([*(found for _, found in rows), np.zeros((1, rows[0][1].shape[1]))])
-    sizes = np.array([len(e) for e in entries] + [0]) if by_size else np.zeros(len(entries) + 1)
-    logs = np.zeros_like(counts)
-    for size in np.unique(sizes):
-        at = sizes == size
-        smooth = counts[at] + smoothing
-        logs[at] = np.log(smooth / smooth.sum(axis=0))
-    return entries, logs
-
-
 class Scorer:
-    """Predicts with a model; remembers a bounded number of unlisted words."""
+    """Predicts with a model, many texts together; keeps nothing from one call to the next."""
 
     def __init__(self, model: LanguageModel):
         self.model = model
-        self.unlisted: dict[str, tuple[np.ndarray, int]] = {}
+        self.tables = (model.words, *(model.grams[size] for size in GRAMS))
+        self.defaults = np.array([*(t.default for t in self.tables), np.zeros(len(model.languages))])
 
     def backoff(self, word: str) -> np.ndarray:
         """Mean log frequency of the longest n-grams of the word that the model lists."""
-        return self._longest(word)[0]
-
-    def _longest(self, word: str) -> tuple[np.ndarray, int]:
-        """Also the length of these n-grams, 0 if none is listed."""
-        known = self.unlisted.get(word)
-        if known is None:
-            padded, known = f" {word} ", (self.model.gram_logs[-1], 0)
-            for size in GRAMS:
-                rows = [self.model.grams.get(padded[i : i + size]) for i in range(len(padded) - size + 1)]
-                rows = [r for r in rows if r is not None]
-                if rows:
-                    known = self.model.gram_logs[rows].mean(axis=0), size
-                    break
-            if len(self.unlisted) >= CACHE_WORDS:
-                self.unlisted.clear()
-            if len(word) < 100:
-                self.unlisted[word] = known
-        return known
+        for size in GRAMS:
+            grams = _grams(word, size)
+            listed = [g for g, at in zip(grams, self.model.grams[size].find(grams)) if at >= 0]
+            if listed:
+                return np.mean([self.model.grams[size].logs(g) for g in listed], axis=0)
+        return np.zeros(len(self.model.languages))
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        return self.judge([text])[0][:2]
 
     def known_share(self, text: str | None) -> float:
         """Share of the words that are listed or have a listed n-gram of ``KNOWN_GRAM`` characters or more.
 
         Neither the number of languages nor how alike they are plays a part.
         """
-        return self._known(word_counts(text))
-
-    def _known(self, counts: Counter[str]) -> float:
-        known = 0
-        for word, n in counts.items():
-            if word in self.model.words or self._longest(word)[1] >= KNOWN_GRAM:
-                known += n
-        return known / sum(counts.values()) if counts else 0.0
+        return self.judge([text])[0][2]
 
     def accepts(self, text: str | None, least_known: float) -> bool:
         """Whether the prediction is a language and the model knows that share of the words."""
-        counts = word_counts(text)
-        return self._predict(counts)[0] != UNKNOWN and self._known(counts) >= least_known
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        return self._predict(word_counts(text))
-
-    def _predict(self, counts: Counter[str]) -> tuple[str, float]:
-        if not counts or not self.model.languages:
-            return UNKNOWN, 0.0
-        rows, times, total = [], [], np.zeros(len(self.model.languages))
-        listed = self.model.words
-        for word, n in counts.items():
-            row = listed.get(word)
-            if row is None:
-                total += self.backoff(word) * n
-            else:
-                rows.append(row)
-                times.append(n)
-        total += np.array(times, dtype=float) @ self.model.word_logs[rows] if rows else 0.0
-        mean = total / sum(counts.values())
-        best = int(np.argmax(mean))
-        return self.model.languages[best], 1.0 / float(np.exp(mean - mean[best]).sum())
+        lang, _, known = self.judge([text])[0]
+        return lang != UNKNOWN and known >= least_known
+
+    def judge(self, texts: Sequence[str | None]) -> list[tuple[str, float, float]]:
+        """Language, score and known share of each text."""
+        out, group, chars = [], [], 0
+        for text in texts:
+            if group and chars + len(text or "") > TOGETHER_CHARS:
+                out += self._together(group)
+                group, chars = [], 0
+            group.append(word_counts(text))
+            chars += len(text or "")
+        return out + self._together(group) if group else out
+
+    def _together(self, counts: list[Counter[str]]) -> list[tuple[str, float, float]]:
+        languages = len(self.model.languages)
+        numbers: dict[str, int] = {}
+        which = np.array([numbers.setdefault(w, len(numbers)) for c in counts for w in c], dtype=np.int64)
+        if not languages or not len(which):
+            return [(UNKNOWN, 0.0, 0.0)] * len(counts)
+        times = np.array([n for c in counts for n in c.values()], dtype=float)
+        text = np.repeat(np.arange(len(counts)), [len(c) for c in counts])
+        kind, starts, langs, gains = self._resolve(list(numbers))
+        shares = np.zeros((len(counts), len(self.defaults)))
+        np.add.at(shares, (text, kind[which]), times)
+        whole = shares.sum(axis=1)
+        total = (shares @ self.defaults).ravel()
+        for i in range(0, len(which), TOGETHER_WORDS):
+            part = slice(i, i + TOGETHER_WORDS)
+            at, of = _spread(starts[which[part]], starts[which[part] + 1])
+            total += np.bincount(
+                text[part][of] * languages + langs[at], weights=gains[at] * times[part][of], minlength=len(total)
+            )
+        mean = total.reshape(-1, languages) / np.maximum(whole, 1)[:, None]
+        best = mean.argmax(axis=1)
+        score = 1.0 / np.exp(mean - mean.max(axis=1)[:, None]).sum(axis=1)
+        sizes = [KNOWN_GRAM, *GRAMS, 0]
+        known = shares[:, [size >= KNOWN_GRAM for size in sizes]].sum(axis=1) / np.maximum(whole, 1)
+        return [
+            (self.model.languages[b], float(s), float(k)) if n else (UNKNOWN, 0.0, 0.0)
+            for b, s, k, n in zip(best, score, known, whole)
+        ]
+
+    def _resolve(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word the table it is found in, and the languages that gain by it, as in ``Entries``.
+
+        A word that none of whose n-grams is listed is in a last table, where no language gains.
+        """
+        kind = np.full(len(words), len(self.tables))
+        found = self.model.words.find(words)
+        parts = [(np.flatnonzero(found >= 0), found[found >= 0], np.ones(int((found >= 0).sum())))]
+        kind[parts[0][0]] = 0
+        left = np.flatnonzero(found < 0)
+        for table, size in enumerate(GRAMS, start=1):
+            grams = [_grams(words[i], size) for i in left]
+            of = np.repeat(left, [len(g) for g in grams])
+            places = self.model.grams[size].find([g for each in grams for g in each])
+            of, places = of[places >= 0], places[places >= 0]
+            kind[of] = table
+            parts.append((of, places, 1.0 / np.bincount(of, minlength=len(words))[of]))
+            left = left[kind[left] == len(self.tables)]
+        word, langs, gains = [], [], []
+        for entries, (of, places, weight) in zip(self.tables, parts):
+            at, nth = _spread(entries.starts[places], entries.starts[places + 1])
+            word.append(of[nth])
+            langs.append(entries.langs[at])
+            gains.append(entries.gains[at] * weight[nth])
+        every = np.concatenate(word)
+        order = np.argsort(every, kind="stable")
+        starts = np.r_[0, np.cumsum(np.bincount(every, minlength=len(words)))]
+        return kind, starts, np.concatenate(langs)[order], np.concatenate(gains)[order]
+
+
+def _grams(word: str, size: int) -> list[str]:
+    padded = f" {word} "
+    return [padded[i : i + size] for i in range(len(padded) - size + 1)]
+
+
+def _spread(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of the ranges one after another, and the number of the range each is from."""
+    lengths = ends - starts
+    of = np.repeat(np.arange(len(lengths)), lengths)
+    return np.arange(len(of)) + (starts - (np.cumsum(lengths) - lengths))[of], of
 
 
 def _pieces(text: str) -> Iterator[str]:
@@ -234,17 +318,17 @@ def predict_languages(docs: DataFrame, model: LanguageModel, id_col: str = "doc_
     def run(batches):
         scorer = Scorer(shared.value)
         for batch in batches:
-            found = [scorer.predict(t.as_py()) for t in batch.column("text")]
+            found = scorer.judge(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
-                    pa.array([lang for lang, _ in found], pa.string()),
-                    pa.array([score for _, score in found], pa.float64()),
+                    pa.array([lang for lang, _, _ in found], pa.string()),
+                    pa.array([score for _, score, _ in found], pa.float64()),
                 ],
                 names=["id", "lang_pred", "score"],
             )
 
-    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    named = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"))
     kind = named.schema["id"].dataType.simpleString()
     predicted = map_batches(named, run, f"id {kind}, lang_pred string, score double")
     return predicted.withColumnRenamed("id", id_col)
@@ -267,6 +351,7 @@ def keep_known_languages(
     def known(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(shared.value)
         for batch in texts:
-            yield pd.Series([scorer.accepts(t, least_known) for t in batch], dtype=bool)
+            judged = scorer.judge(batch.tolist())
+            yield pd.Series([lang != UNKNOWN and share >= least_known for lang, _, share in judged], dtype=bool)
 
     return docs.where(known(quoted(text_col)))

@@ -1,12 +1,16 @@
 """Operators on small tables: nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."""
 
+import collections
+import functools
 import hashlib
+import math
 import random
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -235,9 +239,9 @@ def test_language(spark, docs, none):
 def test_backoff_uses_the_longest_known_grams(spark):
     rows = [(i, t, lang, "s", 0) for i, (t, lang) in enumerate([("abcde", "x"), ("vwxyz", "y")])]
     scorer = language.Scorer(language.fit_language_model(spark.createDataFrame(rows, DOCS)))
-    four = scorer.model.gram_logs[[scorer.model.grams["abcd"], scorer.model.grams[" abc"]]].mean(axis=0)
-    assert np.allclose(scorer.backoff("abcdq"), four)
-    assert np.allclose(scorer.backoff("qqq"), scorer.model.gram_logs[scorer.model.grams[" "]])
+    four = scorer.model.grams[4]
+    assert np.allclose(scorer.backoff("abcdq"), np.mean([four.logs(g) for g in (" abc", "abcd")], axis=0))
+    assert np.allclose(scorer.backoff("qqq"), scorer.model.grams[1].logs(" "))
 
 
 def test_words_with_marks_are_learned_and_predicted_alike(spark, monkeypatch):
@@ -245,12 +249,12 @@ def test_words_with_marks_are_learned_and_predicted_alike(spark, monkeypatch):
     rows = [(1, hindi, "hi", "s", 0), (2, marathi, "mr", "s", 0), (3, "ภาษาไทย", "th", "s", 0), (4, "cafe\u0301", "fr", "s", 0)]
     learned = spark.createDataFrame(rows, DOCS)
     model = language.fit_language_model(learned)
-    assert set(model.words) == {*hindi.split(), *marathi.split(), "ภาษาไทย", "cafe\u0301"}
+    words = [*hindi.split(), *marathi.split(), "ภาษาไทย", "cafe\u0301"]
+    assert sorted(model.words.find(words)) == list(range(len(model.words.keys)))
     scorer = language.Scorer(model)
     for _, text, lang, _, _ in rows:
         assert scorer.predict(text)[0] == lang
-        assert set(language.word_counts(text)) <= set(model.words)
-    assert not scorer.unlisted
+        assert min(model.words.find(list(language.word_counts(text)))) >= 0
     for text in ("½ ¾ ²³ ①② Ⅳ", "\u0301\u093f", "१२३"):
         assert scorer.predict(text) == ("und", 0.0)
     monkeypatch.setattr(language, "PIECE_CHARS", 3)
@@ -269,13 +273,87 @@ def test_kept_texts_do_not_depend_on_the_number_of_languages(spark, n):
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1]
 
 
-def test_each_language_has_its_own_entries(spark):
-    rows = [(i, "big words of large languages " * 50, f"l{i}", "s", 0) for i in range(9)] + [(20, "tiny qqqq", "t", "s", 0)]
-    rule = language.FitRule(words=3, grams=5)
-    model = language.fit_language_model(spark.createDataFrame(rows, DOCS), rule=rule)
-    assert set(model.words) == {"big", "languages", "large", "qqqq", "tiny"}
-    assert {"qqqq", " qqq"} <= set(model.grams)
-    assert language.Scorer(model).predict("qqqq")[0] == "t"
+def brute_languages(learned, texts, smoothing=0.5):
+    """Predictions and scores straight from the definition, every entry in every language."""
+    names = sorted({lang for _, lang in learned})
+    words = {lang: collections.Counter() for lang in names}
+    grams = {lang: collections.Counter() for lang in names}
+
+    def split(word, size):
+        padded = f" {word} "
+        return [padded[i : i + size] for i in range(len(padded) - size + 1)]
+
+    for text, lang in learned:
+        for word in regex.findall(r"\p{L}[\p{L}\p{M}]*", text.lower()):
+            words[lang][word] += 1
+            for size in (1, 2, 3, 4):
+                grams[lang].update(split(word, size))
+
+    def log(table, entry, size=None):
+        same = {e for c in table.values() for e in c if size is None or len(e) == size}
+        whole = {lang: sum(table[lang][e] for e in same) + smoothing * (len(same) + 1) for lang in names}
+        return [math.log((table[lang][entry] + smoothing) / whole[lang]) for lang in names]
+
+    @functools.cache
+    def word_log(word):
+        if any(word in words[lang] for lang in names):
+            return log(words, word)
+        for size in (4, 3, 2, 1):
+            listed = [g for g in split(word, size) if any(g in grams[lang] for lang in names)]
+            if listed:
+                return list(np.mean([log(grams, g, size) for g in listed], axis=0))
+        return [0.0] * len(names)
+
+    out = []
+    for text in texts:
+        found = regex.findall(r"\p{L}[\p{L}\p{M}]*", (text or "").lower())
+        if not found:
+            out.append(("und", 0.0))
+            continue
+        mean = [sum(word_log(w)[i] for w in found) / len(found) for i in range(len(names))]
+        top = max(mean)
+        out.append((names[mean.index(top)], 1 / sum(math.exp(m - top) for m in mean)))
+    return out
+
+
+def test_language_against_brute_force(spark, monkeypatch):
+    rng = random.Random(3)
+    syllables = {"en": ["th", "ea", "ing", "o"], "de": ["sch", "ei", "ung", "ä"], "hi": ["कि", "ता", "ब", "में"], "und": ["ö", "lu", "ng"]}
+
+    def text(lang, n):
+        return " ".join("".join(rng.choices(syllables[lang], k=rng.randint(1, 3))) for _ in range(n))
+
+    learned = [(text(lang, rng.randint(1, 30)), lang) for lang in syllables for _ in range(6)]
+    rows = [(i, t, lang, "s", 0) for i, (t, lang) in enumerate(learned)]
+    model = language.fit_language_model(spark.createDataFrame(rows, DOCS))
+    asked = [text(rng.choice(list(syllables)), rng.randint(1, 60)) + rng.choice(["", " xyzzy", " 漢字", " 12."]) for _ in range(80)]
+    asked += [None, "", "!?", "漢", asked[0], asked[0] * 40, "the\u0301a"]
+    want = brute_languages(learned, asked)
+    spread = spark.createDataFrame([(i, t, None, "s", 0) for i, t in enumerate(asked)], DOCS).repartition(3)
+    got = {r["doc_id"]: r for r in language.predict_languages(spread, model).collect()}
+    for i, (lang, score) in enumerate(want):
+        assert got[i]["lang_pred"] == lang and got[i]["score"] == pytest.approx(score, rel=1e-9), asked[i]
+    together = language.Scorer(model).judge(asked)
+    monkeypatch.setattr(language, "TOGETHER_CHARS", 10)
+    monkeypatch.setattr(language, "TOGETHER_WORDS", 3)
+    apart = language.Scorer(model).judge(asked)
+    assert [j[0] for j in together] == [j[0] for j in apart]
+    assert np.allclose([j[1:] for j in together], [j[1:] for j in apart])
+
+
+def test_the_model_grows_with_the_counts_that_exist(spark):
+    """50 languages without a common word: no table of entries by languages, and small languages keep all they have."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, " ".join(f"{letters[i % 26]}{letters[i // 26]}{a}{b}" for a in letters for b in letters), f"l{i:02}", "s", 0) for i in range(50)]
+    rows.append((99, "tiny qqqq", "t", "s", 0))
+    model = language.fit_language_model(spark.createDataFrame(rows, DOCS))
+    assert len(model.languages) == 51
+    assert len(model.words.langs) == 50 * 26 * 26 + 2
+    assert sum(len(t.langs) for t in model.grams.values()) < 51 * 3_500
+    scorer = language.Scorer(model)
+    for _, text, lang, _, _ in rows:
+        assert scorer.predict(text)[0] == lang
+    assert scorer.predict("qqqq")[0] == "t"
 
 
 # 4. Mixing.
