@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ratelab.operators.features import numbered
 from ratelab.sources.tables import TEST, TRAIN
 
 # A draw uses so many hexadecimal digits of an md5 sum: 52 bits.
@@ -141,6 +142,60 @@ def _copies(df, fraction, seed, key_cols):
     return keyed.withColumn(_COPY, F.explode(numbers))
 
 
+#: Draws of one task, when there are more than the default number of tasks takes.
+DRAWS_PER_TASK = 5_000_000
+
+
+def resample(
+    df: DataFrame,
+    pct: float,
+    seed: int = 1,
+    key_cols: Sequence[str] | None = None,
+    label: str | None = None,
+    bias: float = 0.0,
+) -> DataFrame:
+    """Exactly ``floor(n * pct / 100)`` of n rows, drawn with replacement. Runs jobs.
+
+    Each draw takes any row alike; with probability ``bias`` it first takes one of
+    the classes that occur in ``label``, each alike (null is a class), and then any of
+    its rows. A draw is a hash of its number and the seed, a row's place comes from its
+    class and the md5 of its key, so the sample is the same in any partitioning;
+    ``key_cols`` must tell rows apart. Only keys and classes are sorted, draws of one
+    place are added up before they meet a key, and rows are shuffled once. An
+    empty table gives an empty one.
+    """
+    if not 0.0 <= bias <= 1.0:
+        raise ValueError(f"bias must be from 0 to 1: {bias}")
+    if bias and label is None:
+        raise ValueError("a bias needs a label")
+    spark = df.sparkSession
+    identified = _keyed(df, key_cols).withColumn("_drawn_id", F.md5(_KEY)).drop(_KEY)
+    group = [F.col(label).alias("_class")] if bias else []
+    order = ["_class", "_drawn_id"] if bias else ["_drawn_id"]
+    places = numbered(identified.select("_drawn_id", *group), order, "_place")
+    n = places.count()
+    many = int(n * pct / 100)
+    tasks = max(spark.sparkContext.defaultParallelism, -(-many // DRAWS_PER_TASK))
+    number = F.col("id").cast("string")
+
+    def drawn(purpose: str, upto: Column) -> Column:
+        key = F.concat_ws("|", F.lit(purpose), number) if purpose else number
+        return F.floor(uniform_draw(key, seed) * upto).cast("bigint")
+
+    draws = spark.range(0, many, 1, tasks).select("id", drawn("", F.lit(n)).alias("_place"))
+    if bias:
+        classes = places.groupBy("_class").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+        classes = classes.withColumn("_nth", F.row_number().over(Window.orderBy("_first")) - 1).drop("_class")
+        biased = uniform_draw(F.concat_ws("|", F.lit("bias"), number), seed) < bias
+        draws = draws.withColumn("_nth", F.when(biased, drawn("class", F.lit(classes.count()))))
+        inside = F.col("_first") + drawn("", F.col("_rows"))
+        draws = draws.join(classes, "_nth", "left").withColumn("_place", F.coalesce(inside, "_place"))
+    times = draws.groupBy("_place").agg(F.count(F.lit(1)).cast("int").alias("_times"))
+    chosen = places.join(times, "_place").select("_drawn_id", "_times")
+    copies = identified.join(chosen, "_drawn_id").withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_times"))))
+    return copies.drop("_drawn_id", "_times", "_copy")
+
+
 def sampled_split(
     df: DataFrame,
     fraction: float = 1.0,
@@ -167,6 +222,13 @@ def bagged_sample(
     model_id: int,
     base_seed: int = 1,
     key_cols: Sequence[str] | None = None,
+    exact: bool = False,
 ) -> DataFrame:
-    """The bag of one ensemble member; each member has its own seed."""
+    """The bag of one ensemble member; each member has its own seed.
+
+    ``exact`` draws exactly that percentage of the rows (``resample``), else it
+    is the mean of a Poisson draw per row.
+    """
+    if exact:
+        return resample(train, sample_pct, base_seed + model_id, key_cols)
     return bootstrap(train, sample_pct / 100.0, base_seed + model_id, key_cols)

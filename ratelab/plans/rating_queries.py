@@ -13,6 +13,7 @@ from ratelab.operators.sampling import (
     hash_split,
     poisson_steps,
     random_split,
+    resample,
 )
 from ratelab.operators.star import join_books as rated_books
 from ratelab.plans import proxies
@@ -160,6 +161,17 @@ def feature_index(spark, sf_dir):
     )
 
 
+def exact_resample(spark, sf_dir):
+    """Exactly 66 % of the train rows, as the bag of a model."""
+    train = _split(spark, sf_dir).filter(F.col("split") == TRAIN).drop("split")
+    return bagged_sample(train, 66, model_id=2, base_seed=7, key_cols=KEY, exact=True)
+
+
+def biased_resample(spark, sf_dir):
+    """Exactly 150 % of all rows, half of the draws by class first."""
+    return resample(proxies.rated(spark, sf_dir), 150, 3, KEY, label="rating", bias=0.5)
+
+
 # --- ensemble arithmetic with predictors that SQL can restate ---------------
 
 
@@ -229,6 +241,8 @@ QUERIES = {
     "random_split": random_split_query,
     "bootstrap": bootstrap_query,
     "bagged_sample": bagged_sample_query,
+    "exact_resample": exact_resample,
+    "biased_resample": biased_resample,
     "feature_index": feature_index,
     "ensemble_scores": ensemble_scores,
     "ensemble_average": ensemble_average,
@@ -348,7 +362,30 @@ def copies_sql(table, fraction, seed):
         FROM (SELECT *, unnest(range({steps})) AS copy FROM (SELECT *, {_draw_sql(seed)} AS draw FROM {table}))"""
 
 
+def resample_sql(table, pct, seed, label=None, bias=0.0):
+    """Exactly that percentage of a table's rows; each draw takes a place."""
+
+    def place(purpose, upto):
+        key = f"{purpose!r} || '|' || i" if purpose else "CAST(i AS VARCHAR)"
+        return f"CAST(floor(({_draw_sql(seed).replace('row_key', key)}) * {upto}) AS BIGINT)"
+
+    first = f"{label}, " if bias else ""
+    biased = _draw_sql(seed).replace("row_key", "'bias' || '|' || i")
+    classes = f"""classes AS (SELECT min(place) AS start, count(*) AS n, row_number() OVER (ORDER BY min(place)) - 1 AS nth
+                 FROM placed GROUP BY {label}),""" if bias else ""
+    by_class = f"""CASE WHEN {biased} < {bias!r}::DOUBLE
+        THEN (SELECT start + {place("", "n")} FROM classes WHERE nth = {place("class", "(SELECT count(*) FROM classes)")})
+        ELSE {place("", "(SELECT count(*) FROM placed)")} END""" if bias else place("", "(SELECT count(*) FROM placed)")
+    return f"""placed AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY {first}md5(row_key)) - 1 AS place FROM {table}),
+        {classes}
+        draws AS MATERIALIZED (SELECT {by_class} AS place
+                  FROM range((SELECT CAST(floor(count(*) * {pct} / 100) AS BIGINT) FROM placed)) AS r(i))
+        SELECT placed.* EXCLUDE (place) FROM placed JOIN draws USING (place)"""
+
+
 ORACLE = {
+    "exact_resample": f"WITH {SPLIT_SQL}, {resample_sql('train', 66, 9)}",
+    "biased_resample": f"WITH {RATED_SQL}, {resample_sql('rated', 150, 3, 'rating', 0.5)}",
     "random_split": f"""
         WITH {RATED_SQL}
         SELECT row_key, isbn, rating, CASE WHEN {_draw_sql(1)} < 0.9::DOUBLE THEN 'TRAIN' ELSE 'TEST' END AS split

@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -256,6 +258,39 @@ def test_draws_do_not_depend_on_partitions(spark):
     assert 6_800 < bootstrap(again, 0.9, 4).count() < 7_600
 
 
+def test_exact_resample(spark):
+    rows_ = [(i, "abc"[min(2, i // 40)] if i % 10 else None, "x") for i in range(100)]
+    df = spark.createDataFrame(rows_, "k int, c string, _row string")
+
+    def brute(pct, seed, bias):
+        def draw(key):
+            return int(hashlib.md5(f"{key}|{seed}".encode()).hexdigest()[:13], 16) / 16**13
+
+        order = sorted(rows_, key=lambda r: (bool(bias) and r[1] is not None, r[1] or "" if bias else "", hashlib.md5(str(r[0]).encode()).hexdigest()))
+        classes = [[r for r in order if r[1] == c] for c in dict.fromkeys(r[1] for r in order)]
+        out = []
+        for i in range(int(len(order) * pct / 100)):
+            if bias and draw(f"bias|{i}") < bias:
+                mine = classes[int(draw(f"class|{i}") * len(classes))]
+                out.append(mine[int(draw(i) * len(mine))])
+            else:
+                out.append(order[int(draw(i) * len(order))])
+        return sorted(out, key=repr)
+
+    for pct, bias in ((66, 0.0), (150.9, 0.5), (100, 1.0), (0, 0.0), (0.5, 0.0)):
+        for parts in (1, 5):
+            got = sampling.resample(df.repartition(parts), pct, 3, ["k"], "c", bias)
+            assert got.columns == df.columns
+            assert sorted(rows(got), key=repr) == brute(pct, 3, bias)
+    twice = df.select("c").unionAll(df.select("c"))
+    one, two = (sorted(rows(sampling.resample(twice.repartition(n), 50, 3)), key=repr) for n in (2, 6))
+    assert one == two and len(one) == 100
+    assert sampling.resample(df.limit(0), 100, 3, ["k"], "c", 0.5).count() == 0
+    assert bagged_sample(df, 66, 1, 1, ["k"], exact=True).count() == 66
+    with pytest.raises(ValueError):
+        sampling.resample(df, 10, bias=0.5)
+
+
 def test_samples_of_any_mean(spark):
     rows = spark.range(100).withColumnRenamed("id", "k")
     n = sampling.bootstrap(rows, 1_000.5, 3, ["k"]).count()
