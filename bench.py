@@ -26,6 +26,8 @@ HEADLINE = (
     "books_dedup",
     "join_star",
     "hash_split",
+    "bagged_sample",
+    "exact_resample",
     "ensemble_average",
     "metrics_milli",
     "feature_index",
