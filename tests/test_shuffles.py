@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from ratelab.operators import features
+from ratelab.operators import features, sampling
 from ratelab.operators.star import star
 from ratelab.plans import rating_queries
 
@@ -37,6 +37,19 @@ def test_places_are_numbered_without_another_shuffle(spark):
     assert found == [(i, *r) for i, r in enumerate(expected)]
 
 
+def test_resample_numbers_written_ids_of_16_bytes(spark, monkeypatch):
+    seen = []
+
+    def numbered(df, order, name):
+        seen.append((df.schema["_drawn_id"].dataType.simpleString(), len(df.inputFiles()) > 0))
+        return features.numbered(df, order, name)
+
+    monkeypatch.setattr(sampling, "numbered", numbered)
+    rows = spark.range(200).select(F.col("id").cast("string").alias("k"), (F.col("id") % 3).alias("c"))
+    assert sampling.resample(rows, 50, 1, ["k"], label="c", bias=0.5).count() == 100
+    assert seen == [("binary", True)]
+
+
 def test_feature_index_makes_its_rows_once(spark, monkeypatch, tmp_path):
     path = str(tmp_path / "split")
     rows = [("r1", 20, 1990, "usa", "P", "a", "TRAIN"), ("r2", 30, None, "usa", "Q", "b", "TEST"), ("r3", 20, 1991, "usa", "P", "a", "TRAIN")]
