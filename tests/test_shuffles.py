@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from ratelab.operators import features, sampling
+from ratelab.operators import features, neighbours, sampling
 from ratelab.operators.star import star
 from ratelab.plans import rating_queries
 
@@ -60,3 +60,9 @@ def test_feature_index_makes_its_rows_once(spark, monkeypatch, tmp_path):
     assert not [f for f in indexed.inputFiles() if path in f]
     found = sorted(map(tuple, indexed.collect()))
     assert found == [("r1", 0, 0, 0, 0, 0), ("r2", 1, 2, 0, 1, 1), ("r3", 0, 1, 0, 0, 0)]
+
+
+def test_neighbour_keys_take_16_bytes(spark):
+    row = spark.createDataFrame([("a", "b")], "x string, y string")
+    (key,) = row.select(F.inline(F.array(*neighbours._patterns(["x", "y"], 0)))).select("key").first()
+    assert len(key) == 16
