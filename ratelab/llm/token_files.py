@@ -15,6 +15,7 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,20 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 _PLAIN = re.compile("[\n !-~\xa1-\xac\xae-ɏ]*")
 #: A place where words never meet across: a blank between two letters or digits.
 _CUT = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
+_FEEDS = re.compile(r"(\n+)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """How byte-level tokenizers of this kind write a character: one printable character a byte."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    letters = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+    plain = (c for c in map(chr, range(0x250)) if _PLAIN.fullmatch(c))
+    return {ord(c): "".join(letters[b] for b in c.encode()) for c in plain}
+
+
+#: Line feeds stay: they part the words that are written together.
+_BYTE_LETTERS = _byte_letters() | {10: "\n"}
 
 INDEX_SCHEMA = (
     "{id} {kind}, part int, file string, offset bigint, length bigint, before bigint, n_tokens bigint"
@@ -67,8 +82,9 @@ class TokenFileRule:
 class Encoder:
     """The tokenizers library over texts, with the ids of words remembered.
 
-    The tokenizer's words depend on nothing around them, so plain texts are cut
-    at blanks, and the pieces of a batch that aren't known yet are encoded together.
+    The tokenizer's words depend on nothing around them, so plain texts are cut at
+    line feeds and blanks, and the pieces of a batch that aren't known yet are
+    encoded together.
     """
 
     def __init__(self, path: str):
@@ -84,27 +100,40 @@ class Encoder:
         #: Ids of pieces after a blank, and of pieces that begin a text.
         self.known: dict[str, bytes] = {}
         self.firsts: dict[str, bytes] = {}
+        #: The library's model takes words that are cut and written in byte letters already.
+        self.tokens = self.library.model.tokenize
         vocab = spec["model"]["vocab"]
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(max(vocab.values()) + 1)]
         self.line_feed = vocab["Ċ"]
-        self.marks = {mark: vocab[mark].to_bytes(4, "little") for mark in ".,;:!?"}
+        self.marks: dict[str, bytes] = {}
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit integers."""
-        get, found, gaps = self.known.get, [], []
+        get, first, found, gaps = self.known.get, self.firsts.get, [], []
         for text in texts:
-            pieces = text.split(" ") if self._is_plain(text) else None
-            ids = None if pieces is None else list(map(get, pieces))
-            found.append(ids)
-            if pieces is not None:
-                ids[0] = self.firsts.get(pieces[0])
-                gaps.append((ids, pieces, [i for i, x in enumerate(ids) if x is None]))
+            if not self._is_plain(text):
+                found.append(None)
+                continue
+            lines = []
+            split = _FEEDS.split(text)
+            for line in split:
+                if line[:1] == "\n":
+                    lines.append((self._feeds(len(line), split[-1] == "" and len(lines) >= len(split) - 2),))
+                    continue
+                pieces = line.split(" ")
+                ids = list(map(get, pieces))
+                ids[0] = first(pieces[0]) if line else b""
+                lines.append(ids)
+                if None in ids:
+                    gaps.append((ids, pieces, [i for i, x in enumerate(ids) if x is None]))
+            found.append(lines)
         new = {pieces[i] for _, pieces, at in gaps for i in at if i}
-        firsts = {pieces[0] for _, pieces, at in gaps if at[:1] == [0]}
+        firsts = {pieces[0] for _, pieces, at in gaps if at[0] == 0}
         learned, began = self._learn(new, firsts)
         for ids, pieces, at in gaps:
             for i in at:
                 ids[i] = learned[pieces[i]] if i else began[pieces[0]]
-        return [self._whole(text) if ids is None else b"".join(ids) for text, ids in zip(texts, found)]
+        return [self._whole(text) if lines is None else b"".join(map(b"".join, lines)) for text, lines in zip(texts, found)]
 
     def _is_plain(self, text: str) -> bool:
         """Whether single blanks and line feeds are all the white space, and no blank touches another or an end."""
@@ -114,19 +143,25 @@ class Encoder:
             and not any(mark in text for mark in self.added)
         )
 
+    def _feeds(self, n: int, at_end: bool) -> bytes:
+        """Ids of line feeds in a row: one word at the end of a text, else the last one is a word of its own."""
+        if n == 1:
+            return self.id_bytes[self.line_feed]
+        return self._mark("\n" * n) if at_end else self._mark("\n" * (n - 1)) + self.id_bytes[self.line_feed]
+
+    def _mark(self, mark: str) -> bytes:
+        """Ids of marks or line feeds that are one word; those of up to 64 are remembered."""
+        ids = self.marks.get(mark)
+        if ids is None:
+            ids = np.array(self.library.encode(mark, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            if len(mark) <= 64 and len(self.marks) < CACHE_CHUNKS // 10:
+                self.marks[mark] = ids
+        return ids
+
     def _learn(self, new: set[str], firsts: set[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
         """Ids of pieces after a blank and of first pieces, which are remembered from now on."""
-        # A single line feed inside a piece is a word of its own: the end of a line, and the first of the next.
-        lines = {p: tuple(p.split("\n")) for p in new if p.count("\n") == 1 and "\n" not in (p[0], p[-1])}
-        others = {p for p in new if "\n" in p} - lines.keys()
-        heads = (new - lines.keys() - others).union(head for head, _ in lines.values())
-        tails = {p for p in firsts if p and "\n" not in p}.union(tail for _, tail in lines.values())
-        learned = self._together(" ", heads, self.known)
-        began = self._together("", tails, self.firsts)
-        feed = self.line_feed.to_bytes(4, "little")
-        learned |= {p: learned[head] + feed + began[tail] for p, (head, tail) in lines.items()}
-        learned |= self._each(" ", others)
-        began |= self._each("", firsts - began.keys())
+        learned = self._together(" ", new, self.known)
+        began = self._together("", firsts, self.firsts)
         for known, more, most in ((self.known, learned, CACHE_CHUNKS), (self.firsts, began, CACHE_CHUNKS // 10)):
             if len(known) + len(more) > most:
                 known.clear()
@@ -134,27 +169,30 @@ class Encoder:
         return learned, began
 
     def _together(self, blank: str, pieces: set[str], known: dict[str, bytes]) -> dict[str, bytes]:
-        """Ids of pieces without line feeds, and of what they are made of, by one call of the library."""
-        # A mark after letters alone is a word of its own as well.
-        stems = {p: p[:-1] for p in pieces if p not in known and p[-1] in self.marks and p[:-1].isalpha()}
+        """Ids of pieces without line feeds, and of what they are made of: words of letters
+        by the library's model, all others by one call of the library."""
+        # Marks after letters alone, up to the end of the piece, are a word of their own.
+        stems = {p: stem for p in pieces if (stem := p.rstrip(punctuation)) is not p and stem.isalpha()}
         wanted = (pieces - stems.keys()).union(stems.values())
         found = {p: known[p] for p in wanted if p in known}
-        fresh = list(wanted - found.keys())
-        if fresh:
+        fresh = wanted - found.keys()
+        # Letters alone are one word, with the blank before them: there is nothing to cut.
+        words = list(filter(str.isalpha, fresh))
+        written = (blank + f"\n{blank}".join(words)).translate(_BYTE_LETTERS).split("\n")
+        tokens, id_bytes = self.tokens, self.id_bytes
+        for word, letters in zip(words, written):
+            found[word] = b"".join([id_bytes[t.id] for t in tokens(letters)])
+        rest = list(fresh.difference(words))
+        if rest:
             # Between line feeds every piece is cut into the same words as in its text.
-            text = blank + f"\n{blank}".join(fresh)
+            text = blank + f"\n{blank}".join(rest)
             ids = self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids
             ids = np.array([*ids, self.line_feed], dtype="<u4")
             data, start = ids.tobytes(), 0
-            for piece, end in zip(fresh, (4 * np.flatnonzero(ids == self.line_feed)).tolist(), strict=True):
+            for piece, end in zip(rest, (4 * np.flatnonzero(ids == self.line_feed)).tolist(), strict=True):
                 found[piece] = data[start:end]
                 start = end + 4
-        return found | {p: found[stem] + self.marks[p[-1]] for p, stem in stems.items()}
-
-    def _each(self, blank: str, pieces: set[str]) -> dict[str, bytes]:
-        some = sorted(pieces)
-        found = self.library.encode_batch_fast([blank + p for p in some], add_special_tokens=False)
-        return {p: np.array(e.ids, dtype="<u4").tobytes() for p, e in zip(some, found)}
+        return found | {p: found[stem] + self._mark(p[len(stem) :]) for p, stem in stems.items()}
 
     def _whole(self, text: str) -> bytes:
         """Directly, in parts where the text is long and has a place to cut it."""

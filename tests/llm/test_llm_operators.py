@@ -698,6 +698,25 @@ def test_word_by_word_equals_library(texts):
     assert [np.frombuffer(x, dtype="<u4").tolist() for x in encoder.encode_batch(texts)] == want
 
 
+def test_words_of_letters_are_not_cut_again():
+    encoder = token_files.Encoder(BYTE_BPE)
+    cut = []
+
+    class Library:
+        def encode_batch_fast(self, texts, **options):
+            cut.extend(texts)
+            return encoder.plain.encode_batch_fast(texts, **options)
+
+        def __getattr__(self, name):
+            return getattr(encoder.plain, name)
+
+    encoder.plain, encoder.library = encoder.library, Library()
+    texts = ["Größe words,\n\nother çà&&& it's ƵĠĊ\nend.\n\n\n", "\n", ""]
+    want = [e.ids for e in encoder.plain.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in encoder.encode_batch(texts)] == want
+    assert cut == [" it's"]
+
+
 def test_long_texts_in_parts_equal_library():
     encoder = token_files.load(BYTE_BPE)
     text = "\t".join(["some words 12 go", "on  and on\r\n", "漢字 here"] * 30_000)
