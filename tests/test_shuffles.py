@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from ratelab.operators import features, neighbours, sampling
+from ratelab.operators import features, joins, naive_bayes, neighbours, sampling
 from ratelab.operators.star import star
 from ratelab.plans import rating_queries
 
@@ -66,3 +66,45 @@ def test_neighbour_keys_take_16_bytes(spark):
     row = spark.createDataFrame([("a", "b")], "x string, y string")
     (key,) = row.select(F.inline(F.array(*neighbours._patterns(["x", "y"], 0)))).select("key").first()
     assert len(key) == 16
+
+
+def test_many_rows_are_not_left_to_an_estimate(spark, monkeypatch):
+    """Checkpoints keep the size that their query's files had: joins of counted tables must not go by it."""
+    rows = [(f"i{i % 7}", f"p{i % 3}", 1990 + i % 5, i % 4) for i in range(60)]
+    train = spark.createDataFrame(rows, "isbn string, publisher string, year int, rating int")
+    of = dict(nominal=["isbn", "publisher"], numeric=["year"])
+    neighbour = neighbours.fit_neighbours(train, 3, **of)
+    bayes = naive_bayes.fit_naive_bayes(train, **of)
+    rounds = []
+
+    def traced(*args, **options):
+        found = one_round(*args, **options)
+        rounds.append(_plan(found))
+        return found
+
+    one_round = neighbours._round
+    monkeypatch.setattr(neighbours, "_round", traced)
+
+    def answers():
+        voted = neighbours.predict_neighbours(neighbour, train, "p")
+        scored = naive_bayes.predict_naive_bayes(bayes, train, "p")
+        return [(_plan(df), sorted(map(tuple, df.collect()))) for df in (voted, scored)]
+
+    few = [found for _, found in answers()]
+    assert "strategy=broadcast" in rounds[0] and "strategy=merge" not in rounds[0]
+    rounds.clear()
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(neighbours, "ASKED_KEYS", 0)
+    many = answers()
+    assert all("strategy=merge" in plan for plan in [*rounds, *(plan for plan, _ in many)])
+    assert [found for _, found in many] == few
+
+
+def test_star_does_not_broadcast_many_books(spark, monkeypatch):
+    books = spark.createDataFrame([("a", "T"), ("b", "U")], "isbn string, title string")
+    users = spark.createDataFrame([(1, "usa")], "user_id int, location string")
+    ratings = spark.createDataFrame([(1, "a", 5), (1, "c", 6)], "user_id int, isbn string, rating int")
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
+    rated = star(books, users, ratings)
+    assert _plan(rated).count("strategy=merge") == 1
+    assert [tuple(r) for r in rated.collect()] == [(1, "a", 5, "T", "usa")]
