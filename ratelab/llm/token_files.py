@@ -15,10 +15,12 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import compress
 from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyarrow import fs
@@ -45,6 +47,18 @@ _PLAIN = re.compile("[\n !-~\xa1-\xac\xae-ɏ]*")
 #: A place where words never meet across: a blank between two letters or digits.
 _CUT = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
 _FEEDS = re.compile(r"(\n+)")
+#: Before the first piece of a line, and after line feeds at the end of a text; no plain text has them.
+FIRST, LAST = "\x01", "\x02"
+#: Texts of about so many characters are encoded together.
+TOGETHER_CHARS = 1 << 22
+
+
+def _marked(text: str) -> str:
+    """A plain text with blanks between all its pieces; line feeds in a row are one of them."""
+    if "\n\n" not in text and text[-1:] != "\n":
+        return FIRST + text.replace("\n", f" \n {FIRST}")
+    text = FIRST + _FEEDS.sub(rf" \1 {FIRST}", text)
+    return text[: -len(FIRST) - 1] + LAST if text.endswith(f"\n {FIRST}") else text
 
 
 def _byte_letters() -> dict[int, str]:
@@ -83,8 +97,8 @@ class Encoder:
     """The tokenizers library over texts, with the ids of words remembered.
 
     The tokenizer's words depend on nothing around them, so plain texts are cut at
-    line feeds and blanks, and the pieces of a batch that aren't known yet are
-    encoded together.
+    line feeds and blanks. The different pieces of a batch are found by Arrow, and
+    those that aren't known yet are encoded together.
     """
 
     def __init__(self, path: str):
@@ -109,31 +123,43 @@ class Encoder:
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit integers."""
-        get, first, found, gaps = self.known.get, self.firsts.get, [], []
-        for text in texts:
-            if not self._is_plain(text):
-                found.append(None)
-                continue
-            lines = []
-            split = _FEEDS.split(text)
-            for line in split:
-                if line[:1] == "\n":
-                    lines.append((self._feeds(len(line), split[-1] == "" and len(lines) >= len(split) - 2),))
-                    continue
-                pieces = line.split(" ")
-                ids = list(map(get, pieces))
-                ids[0] = first(pieces[0]) if line else b""
-                lines.append(ids)
-                if None in ids:
-                    gaps.append((ids, pieces, [i for i, x in enumerate(ids) if x is None]))
-            found.append(lines)
-        new = {pieces[i] for _, pieces, at in gaps for i in at if i}
-        firsts = {pieces[0] for _, pieces, at in gaps if at[0] == 0}
-        learned, began = self._learn(new, firsts)
-        for ids, pieces, at in gaps:
-            for i in at:
-                ids[i] = learned[pieces[i]] if i else began[pieces[0]]
-        return [self._whole(text) if lines is None else b"".join(map(b"".join, lines)) for text, lines in zip(texts, found)]
+        plain = list(map(self._is_plain, texts))
+        ids = iter(self._by_pieces(list(map(_marked, compress(texts, plain)))))
+        return [next(ids) if p else self._whole(text) for text, p in zip(texts, plain)]
+
+    def _by_pieces(self, texts: list[str]) -> list[bytes]:
+        """Ids of marked texts: each different piece is looked up once, its ids are copied to all its places."""
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        coded = split.flatten().dictionary_encode()
+        pieces, of = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        ids = list(map(self.known.get, pieces))
+        new, began = [], []
+        for i in (i for i, x in enumerate(ids) if x is None):
+            piece = pieces[i]
+            if piece[0] == FIRST:
+                ids[i] = self.firsts.get(piece[1:]) if len(piece) > 1 else b""
+                if ids[i] is None:
+                    began.append(i)
+            elif piece[0] == "\n":
+                at_end = piece[-1] == LAST
+                ids[i] = self._feeds(len(piece) - at_end, at_end)
+            else:
+                new.append(i)
+        learned, firsts = self._learn({pieces[i] for i in new}, {pieces[i][1:] for i in began})
+        for i in new:
+            ids[i] = learned[pieces[i]]
+        for i in began:
+            ids[i] = firsts[pieces[i][1:]]
+        numbers = np.frombuffer(b"".join(ids), dtype="<u4")
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts = np.cumsum(lengths) - lengths
+        lengths = lengths[of]
+        ends = np.cumsum(lengths)
+        places = np.repeat(starts[of] - ends + lengths, lengths)
+        places += np.arange(len(places))
+        data = numbers[places].tobytes()
+        cuts = (4 * np.append(0, ends)[split.offsets.to_numpy()]).tolist()
+        return [data[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
 
     def _is_plain(self, text: str) -> bool:
         """Whether single blanks and line feeds are all the white space, and no blank touches another or an end."""
@@ -169,13 +195,13 @@ class Encoder:
         return learned, began
 
     def _together(self, blank: str, pieces: set[str], known: dict[str, bytes]) -> dict[str, bytes]:
-        """Ids of pieces without line feeds, and of what they are made of: words of letters
+        """Ids of pieces that aren't known, without line feeds, and of what they are made of: words of letters
         by the library's model, all others by one call of the library."""
         # Marks after letters alone, up to the end of the piece, are a word of their own.
         stems = {p: stem for p in pieces if (stem := p.rstrip(punctuation)) is not p and stem.isalpha()}
-        wanted = (pieces - stems.keys()).union(stems.values())
-        found = {p: known[p] for p in wanted if p in known}
-        fresh = wanted - found.keys()
+        whole = pieces - stems.keys()
+        found = {stem: known[stem] for stem in set(stems.values()) - whole if stem in known}
+        fresh = whole.union(stem for stem in stems.values() if stem not in found)
         # Letters alone are one word, with the blank before them: there is nothing to cut.
         words = list(filter(str.isalpha, fresh))
         written = (blank + f"\n{blank}".join(words)).translate(_BYTE_LETTERS).split("\n")
@@ -192,7 +218,8 @@ class Encoder:
             for piece, end in zip(rest, (4 * np.flatnonzero(ids == self.line_feed)).tolist(), strict=True):
                 found[piece] = data[start:end]
                 start = end + 4
-        return found | {p: found[stem] + self._mark(p[len(stem) :]) for p, stem in stems.items()}
+        found.update([(p, found[stem] + self._mark(p[len(stem) :])) for p, stem in stems.items()])
+        return found
 
     def _whole(self, text: str) -> bytes:
         """Directly, in parts where the text is long and has a place to cut it."""
@@ -208,6 +235,16 @@ class Encoder:
         return b"".join(np.array(i, dtype="<u4").tobytes() for i in ids)
 
 
+def _stretches(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in order, about ``TOGETHER_CHARS`` characters at a time."""
+    start, size = 0, 0
+    for end, text in enumerate(texts, start=1):
+        size += len(text)
+        if size >= TOGETHER_CHARS or end == len(texts):
+            yield texts[start:end]
+            start, size = end, 0
+
+
 @lru_cache(maxsize=2)
 def load(path: str) -> Encoder:
     """Once per Python worker."""
@@ -289,8 +326,8 @@ def write_tokens(
                 out.write(MAGIC + hashlib.sha256(data).digest())
             texts = [t or "" for t in batch.column("text").to_pylist()]
             offsets, lengths, befores, counts = [], [], [], []
-            for lo in range(0, len(texts), 256):
-                for ids in load(path).encode_batch(texts[lo : lo + 256]):
+            for stretch in _stretches(texts):
+                for ids in load(path).encode_batch(stretch):
                     frame = packer.compress(ids + end)
                     out.write(frame)
                     offsets.append(offset)

@@ -717,6 +717,30 @@ def test_words_of_letters_are_not_cut_again():
     assert cut == [" it's"]
 
 
+def test_pieces_that_repeat_are_looked_up_once():
+    encoder = token_files.Encoder(BYTE_BPE)
+    asked = []
+
+    class Known(dict):
+        def get(self, piece, *default):
+            asked.append(piece)
+            return super().get(piece, *default)
+
+    encoder.known = Known()
+    texts = ["the words, the words\nand the words\n\n\nand, the\n", "<|endoftext|>", "", "\n", "the\n\n", "\nwords the words", "tab\tthe"] * 20
+    want = [e.ids for e in encoder.library.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):
+        asked.clear()
+        assert [np.frombuffer(x, dtype="<u4").tolist() for x in encoder.encode_batch(texts)] == want
+        assert asked.count("the") == asked.count("words") == 1
+
+
+def test_texts_are_encoded_a_stretch_at_a_time(monkeypatch):
+    monkeypatch.setattr(token_files, "TOGETHER_CHARS", 5)
+    assert list(token_files._stretches(["ab", "", "cde", "fghijkl", "", "m"])) == [["ab", "", "cde"], ["fghijkl"], ["", "m"]]
+    assert list(token_files._stretches([])) == []
+
+
 def test_long_texts_in_parts_equal_library():
     encoder = token_files.load(BYTE_BPE)
     text = "\t".join(["some words 12 go", "on  and on\r\n", "漢字 here"] * 30_000)
