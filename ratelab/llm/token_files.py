@@ -115,10 +115,10 @@ class _Ids:
         places += np.arange(len(places))
         return self.numbers[places]
 
-    def bytes_at(self, places: np.ndarray) -> list[bytes]:
+    def to_bytes(self) -> list[bytes]:
         data = self.numbers.tobytes()
-        starts = 4 * self.starts[places]
-        ends = starts + 4 * self.lengths[places]
+        starts = 4 * self.starts
+        ends = starts + 4 * self.lengths
         return [data[lo:hi] for lo, hi in zip(starts.tolist(), ends.tolist())]
 
 
@@ -190,7 +190,6 @@ class Encoder:
         split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         coded = split.flatten().dictionary_encode()
         pieces, of = coded.dictionary, coded.indices.to_numpy()
-        often = np.bincount(of, minlength=len(pieces))
         is_feeds = pc.starts_with(pieces, "\n").to_numpy(zero_copy_only=False)
         is_first = pc.starts_with(pieces, FIRST).to_numpy(zero_copy_only=False)
         kinds = [np.flatnonzero(kind) for kind in (~is_feeds & ~is_first, is_first, is_feeds)]
@@ -198,9 +197,8 @@ class Encoder:
         cores, marks, marked = _stems(after)
         first_cores, first_marks, first_marked = _stems(pc.utf8_slice_codeunits(first, 1))
         bare = pa.concat_arrays([first_cores, marks, first_marks])
-        bare_often = often[np.concatenate([kinds[1], kinds[0][marked], kinds[1][first_marked]])]
-        known, known_of = self._words(" ", cores, often[kinds[0]], self.known, CACHE_CHUNKS)
-        firsts, firsts_of = self._words("", bare, bare_often, self.firsts, CACHE_CHUNKS // 10)
+        known, known_of = self._words(" ", cores, self.known, CACHE_CHUNKS)
+        firsts, firsts_of = self._words("", bare, self.firsts, CACHE_CHUNKS // 10)
         ends = [(len(p.rstrip(LAST)), p[-1] == LAST) for p in feeds.to_pylist()]
         words = _Ids.one_after_another([known, firsts, _Ids.of_bytes([self._feeds(*end) for end in ends] + [b""])])
         # A piece has one or two words; the last word of all has no ids.
@@ -217,24 +215,18 @@ class Encoder:
         cuts = (4 * np.append(0, np.cumsum(found.lengths))[split.offsets.to_numpy()]).tolist()
         return [data[lo:hi] for lo, hi in zip(cuts, cuts[1:])]
 
-    def _words(
-        self, blank: str, words: pa.Array, often: np.ndarray, known: dict[str, bytes], most: int
-    ) -> tuple[_Ids, np.ndarray]:
+    def _words(self, blank: str, words: pa.Array, known: dict[str, bytes], most: int) -> tuple[_Ids, np.ndarray]:
         """Ids of the different ones of some words, all after ``blank``, and which of them each word is.
-        Words that are here several times (``often``: how many a word stands for) are remembered."""
+        The words are remembered from now on."""
         coded = words.dictionary_encode()
         different, of = coded.dictionary, coded.indices.to_numpy()
-        asked = np.flatnonzero(np.bincount(of, weights=often, minlength=len(different)) > 1)
-        names = different.take(pa.array(asked)).to_pylist()
+        names = different.to_pylist()
         ids = list(map(known.get, names))
-        met = np.fromiter((i is not None for i in ids), bool, len(ids))
-        is_new = np.ones(len(different), bool)
-        is_new[asked[met]] = False
+        is_new = np.array([i is None for i in ids], bool)
         learned = self._learn(blank, different.filter(pa.array(is_new)))
-        place = np.cumsum(is_new) - 1
-        place[asked[met]] = len(learned.starts) + np.arange(np.count_nonzero(met))
-        more = dict(zip(compress(names, ~met), learned.bytes_at(place[asked[~met]])))
-        found = _Ids.one_after_another([learned, _Ids.of_bytes(list(compress(ids, met)))]).at(place)
+        place = np.where(is_new, np.cumsum(is_new), len(learned.starts) + np.cumsum(~is_new)) - 1
+        more = dict(zip(compress(names, is_new), learned.to_bytes()))
+        found = _Ids.one_after_another([learned, _Ids.of_bytes(list(compress(ids, ~is_new)))]).at(place)
         if len(known) + len(more) > most:
             known.clear()
         known.update(more)
